@@ -1,0 +1,44 @@
+"""Intermediate tables in the shared folder that the cluster names."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a private temporary folder only where it is unset (tests, local mode)."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if base:
+        return base.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = "file://" + tempfile.mkdtemp(prefix="toolgraph-")
+    return _own[app]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete scratch tables made by :func:`materialize` once nothing reads them any more."""
+    jvm = spark.sparkContext._jvm
+    base = shared_dir(spark).removeprefix("file://")
+    for frame in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+            if base in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
