@@ -24,7 +24,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolgraph.llm.scratch import materialize
+from toolgraph.scratch import materialize
 
 RUNS = 64
 FAN_IN = 8

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from toolgraph.llm import bpe, exact_dedup, mixing, token_blocks
+from toolgraph.llm import bpe, exact_dedup, minhash, mixing, token_blocks
 
 QUERIES = {
     "op2_bpe": bpe.op2_bpe,
     "op6_token_blocks": token_blocks.op6_token_blocks,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_minhash": minhash.op8_minhash,
     "op9_mixing": mixing.op9_mixing,
 }
 ORACLE = {

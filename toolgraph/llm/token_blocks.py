@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from toolgraph.llm.scratch import new_path
+from toolgraph.scratch import new_path
 from toolgraph.llm.wordsplit import chunks, slices
 
 BLOCK = 256
