@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from toolgraph.llm import bpe, exact_dedup, minhash, mixing, token_blocks
+from toolgraph.llm import bpe, exact_dedup, language_id, minhash, mixing, token_blocks
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_bpe": bpe.op2_bpe,
     "op6_token_blocks": token_blocks.op6_token_blocks,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
