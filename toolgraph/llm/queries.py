@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from toolgraph.llm import bpe, exact_dedup, language_id, minhash, mixing, token_blocks
+from toolgraph.llm import bpe, exact_dedup, language_id, minhash, mixing, token_blocks, toxicity
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_minhash": minhash.op8_minhash,
     "op9_mixing": mixing.op9_mixing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE = {
     "op7_exact_dedup": exact_dedup.SQL,
