@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from toolgraph.llm import bpe, exact_dedup, language_id, lattice_dedup, minhash, mixing, preference, token_blocks, toxicity
+from toolgraph.llm import bpe, exact_dedup, language_id, lattice_dedup, minhash, mixing, passages, preference, token_blocks, toxicity
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_bpe": bpe.op2_bpe,
     "op3_lattice_dedup": lattice_dedup.op3_lattice_dedup,
     "op4_preference": preference.op4_preference,
+    "op5_passages": passages.op5_passages,
     "op6_token_blocks": token_blocks.op6_token_blocks,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_minhash": minhash.op8_minhash,
