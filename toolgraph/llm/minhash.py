@@ -17,9 +17,10 @@
    most central one (whose buckets are largest in sum), never all with all; the
    exact weighted Jaccard similarity decides. Linked documents form components.
    Then members of a bucket that are still outside its main component are
-   compared with the bucket's members in other components, so that no
-   candidate pair across components goes unchecked. Common keys are joined by
-   shuffles that adaptive execution splits.
+   matched with documents of other components by prefix filtering, which is
+   exact, so that no link across components goes unchecked although no bucket's
+   pairs are ever listed. Common keys are joined by shuffles that adaptive
+   execution splits.
 
 Defined results: a text of one to four words is one shingle of all its words; a
 null text, or one without words, has no shingle and is a class of its own.
@@ -203,6 +204,41 @@ def verified_links(pairs: DataFrame, sets: DataFrame, idf, threshold: float) ->
     return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b").mapInArrow(run, schema)
 
 
+def unchecked_pairs(sets: DataFrame, idf, threshold: float) -> DataFrame:
+    """(a, b): every pair of a stray with a document of another component that can be similar enough, by prefix filtering.
+
+    ``sets`` has (doc_id, shingles, component, stray). Shingles stand in one order for all, rarest first. Documents
+    whose similarity is t share at least t / (1 + t) of their summed weight, so their first common shingle stands
+    within the first 1 - t of either's weight, and neither has more weight before it than the other can do without.
+    A common shingle of a large group thus matches only documents that have next to nothing before it.
+    """
+    schema = T.StructType([*[sets.schema[c] for c in ("doc_id", "component", "stray")], T.StructField("shingle", T.LongType()), T.StructField("left", T.DoubleType()), T.StructField("weight", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            kept, lefts, weights = [], [], []
+            for packed in batch.column(3):
+                shingles, counts = np.unique(np.frombuffer(packed.as_py(), np.uint64), return_counts=True)
+                own = idf.value[bucket_of(shingles)]
+                order = np.lexsort((shingles, -own))
+                w = (own * counts)[order]
+                before = np.concatenate([[0.0], np.cumsum(w)[:-1]])
+                n = int((before <= (1 - threshold) * w.sum() + 1e-9).sum())
+                kept.append(shingles[order][:n].view(np.int64))
+                lefts.append(w.sum() - before[:n])
+                weights.append(np.full(n, w.sum()))
+            of = pa.array(np.repeat(np.arange(len(kept)), [len(k) for k in kept]))
+            columns = [c.take(of) for c in batch.columns[:3]]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.concatenate(c)) for c in (kept, lefts, weights)]], schema.names)
+
+    prefixes = materialize(sets.select("doc_id", "component", "stray", "shingles").mapInArrow(run, schema), "prefixes")
+    x, y = prefixes.filter("stray").alias("x"), prefixes.alias("y")
+    enough = (F.col("x.weight") + F.col("y.weight")) * (threshold / (1 + threshold)) - 1e-9
+    meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
+    found = x.join(y, meet & (F.col("x.left") >= enough) & (F.col("y.left") >= enough))
+    return found.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
 def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row a document: doc_id, class_id (smallest doc_id of its class), class_size, kept (doc_id = class_id)."""
     spark = docs.sparkSession
@@ -233,18 +269,13 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: floa
     links = materialize(verified_links(pairs, sets, idf, threshold), "links")
     labels = connected_components(links, "a", "b")
 
-    # what a bucket holds outside its main component is compared with its other components
+    # what a bucket holds outside its main component may still link to other components
     placed = rows.join(labels, rows["doc_id"] == labels["node"], "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("components"), F.max(F.struct("n", "component")).alias("top")).filter("components > 1")
-    mixed = materialize(placed.join(main, "bucket").select("bucket", "doc_id", "component", (F.col("component") != F.col("top.component")).alias("stray")), "mixed-buckets")
-    x, y = mixed.filter("stray").alias("x"), mixed.alias("y")
-    rest = (
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")))
-        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
+    stray = F.max(F.col("component") != F.col("top.component")).alias("stray")
+    mixed = materialize(placed.join(main, "bucket").groupBy("doc_id", "component").agg(stray), "mixed-documents")
+    rest = unchecked_pairs(sets.join(mixed, "doc_id"), idf, threshold).join(pairs, ["a", "b"], "left_anti")
     late = materialize(verified_links(materialize(rest, "late-pairs"), sets, idf, threshold), "links")
     if not late.isEmpty():
         labels = connected_components(links.union(late), "a", "b")
