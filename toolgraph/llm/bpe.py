@@ -34,10 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from toolgraph.llm.wordsplit import chunks, slices
+from toolgraph.llm.wordsplit import CACHE_ENTRIES, ChunkCache, chunks, slices
 
-#: entries that a worker's caches hold before they start anew
-CACHE_ENTRIES = 1_000_000
 END_OF_WORD = "</w>"
 
 
@@ -162,33 +160,20 @@ class Vocabulary:
         return text[keep], np.concatenate([[0], np.cumsum(np.diff(bounds) - full)])
 
 
-class Encoder(dict):
-    """From chunk to ids as little-endian unsigned 32-bit integers; what is missing is encoded."""
+class Encoder(ChunkCache):
+    """Exact BPE of chunks by backtracking."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        encode = self.vocabulary.encode_piece
-        ids = [i for piece in self.vocabulary.pattern.findall(chunk) for i in encode(piece)]
-        self[chunk] = packed = np.array(ids, dtype="<u4").tobytes()
-        return packed
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        split = self.vocabulary.split_added
-        if split and "<|" in text:
-            added = self.vocabulary.added
-            parts = split.split(text)
-            return b"".join(added[p].to_bytes(4, "little") if k % 2 else self.plain(p) for k, p in enumerate(parts))
-        return self.plain(text)
-
-    def plain(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, chunks(text)))
+        self.vocabulary, self.added = vocabulary, vocabulary.added
+
+    def encode_chunks(self, new: list[str]) -> list[bytes]:
+        pieces, encode = self.vocabulary.pattern.findall, self.vocabulary.encode_piece
+        return [np.array([i for piece in pieces(c) for i in encode(piece)], dtype="<u4").tobytes() for c in new]
+
+    def encode_special(self, text: str) -> bytes:
+        parts = self.vocabulary.split_added.split(text)
+        return b"".join(self.added[p].to_bytes(4, "little") if k % 2 else b"".join(self.encode_chunks(chunks(p))) for k, p in enumerate(parts))
 
 
 @lru_cache(maxsize=2)
@@ -202,9 +187,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     schema = T.StructType([rows.schema[0], T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = encoder(path).encode
         for batch in slices(batches):
-            ids = [encoded(t) for t in batch.column(1).to_pylist()]
+            ids = encoder(path).encode(batch.column(1).to_pylist())
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(ids, pa.binary())], [id_col, "n_tokens", "token_ids"])
 

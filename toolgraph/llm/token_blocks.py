@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from toolgraph.scratch import new_path
-from toolgraph.llm.wordsplit import chunks, slices
+from toolgraph.llm.wordsplit import ChunkCache, slices
 
 BLOCK = 256
 SEGMENT_IDS = 1 << 18
@@ -44,8 +44,8 @@ PERCENTILE = 95
 END_ID = 1
 MAGIC = b"PFR1"
 HEAD = struct.Struct("<IBH")
-#: entries that a worker's cache holds before it starts anew
-CACHE_ENTRIES = 1_000_000
+#: chunks in one text for the library
+AT_ONCE = 512
 SEGMENTS = T.StructType([
     T.StructField("shard", T.IntegerType()),
     T.StructField("segment", T.IntegerType()),
@@ -148,8 +148,8 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return ids[first - begin * BLOCK : last - begin * BLOCK]
 
 
-class LibraryEncoder(dict):
-    """Ids (little-endian unsigned 32-bit) of white-space-free chunks as the tokenizers library gives them, each asked for once."""
+class LibraryEncoder(ChunkCache):
+    """Chunks as the tokenizers library encodes them, many in one call with an added token between them."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -159,26 +159,28 @@ class LibraryEncoder(dict):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-
-    def ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        whole = [k for k, t in enumerate(texts) if t and any(a in t for a in self.added)]  # these can hold white space next to an added token
-        parts = [[] if not t else chunks(t) for t in texts]
-        for k in whole:
-            parts[k] = []
-        new = list({c for p in parts for c in p}.difference(self))
-        if len(self) + len(new) > CACHE_ENTRIES:
-            self.clear()
-            new = list({c for p in parts for c in p})
-        self.update(zip(new, self.ask(new), strict=True))
-        out = [b"".join(map(self.__getitem__, p)) for p in parts]
-        for k, ids in zip(whole, self.ask([texts[k] for k in whole]), strict=True):
-            out[k] = ids
+        self.added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+
+    def ask(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_chunks(self, new: list[str]) -> list[bytes]:
+        if not self.added:
+            return [ids.tobytes() for ids in self.ask(new)]
+        mark, mark_id = next(iter(self.added.items()))
+        groups = [new[at : at + AT_ONCE] for at in range(0, len(new), AT_ONCE)]
+        out: list[bytes] = []
+        for group, ids in zip(groups, self.ask([mark.join(g) for g in groups]), strict=True):
+            bounds = np.concatenate([[-1], np.flatnonzero(ids == mark_id), [len(ids)]]).tolist()
+            packed = ids.tobytes()
+            out += [packed[4 * a + 4 : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            if len(bounds) != len(group) + 1:
+                raise ValueError("a chunk holds the token that separates chunks")
         return out
 
+    def encode_special(self, text: str) -> bytes:
+        return self.ask([text])[0].tobytes()
+
 
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:

@@ -12,7 +12,9 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Unicode white space; str.split also splits at U+001C to U+001F, which are not
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -21,18 +23,79 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 SLICE = 512
 
 
-def chunks(text: str) -> list[str]:
+#: chunks that a worker's cache holds before it starts anew
+CACHE_ENTRIES = 400_000
+#: bytes of one batch that are handled at once, if that is fewer rows
+SLICE_BYTES = 1 << 25
+
+
+def cleaned(text: str) -> str:
     if not text.isascii():
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ")  # by character, so without the final form of sigma
-    text = text.lower()
+    return text.lower()
+
+
+def chunks(text: str) -> list[str]:
+    text = cleaned(text)
     if SEPARATORS.search(text):
         return [c for c in SPACE.split(text) if c]
     return text.split()
 
 
+def distinct_chunks(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct chunks of some texts, which of them stands at each place, and at which place each text starts (one more entry)."""
+    clean = [cleaned(t) for t in texts]
+    if any(map(SEPARATORS.search, clean)):
+        parts = [chunks(t) for t in texts]
+        words = pa.array([c for p in parts for c in p], pa.large_string())
+        starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    else:
+        lists = pc.utf8_split_whitespace(pa.array(clean, pa.large_string()))
+        words, starts = lists.flatten(), lists.offsets.to_numpy()
+    coded = words.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), starts
+
+
+class ChunkCache(dict):
+    """From chunk to ids as little-endian unsigned 32-bit integers. Subclasses say how chunks, and texts with an added token's string, are encoded."""
+
+    added: dict[str, int]
+
+    def encode_chunks(self, new: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def encode_special(self, text: str) -> bytes:
+        raise NotImplementedError
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts; null is empty. Every distinct chunk of the texts is looked up once."""
+        special = [k for k, t in enumerate(texts) if t and any(a in t for a in self.added)]
+        plain = [t or "" for t in texts]
+        for k in special:
+            plain[k] = ""
+        distinct, codes, starts = distinct_chunks(plain)
+        new = [c for c in distinct if c not in self]
+        if len(self) + len(new) > CACHE_ENTRIES:
+            self.clear()
+            new = distinct
+        self.update(zip(new, self.encode_chunks(new), strict=True))
+        packed = [self[c] for c in distinct]
+        n = np.array([len(p) for p in packed], np.int64) // 4
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        width = n[codes]
+        ends = np.cumsum(width)
+        at = np.repeat((np.cumsum(n) - n)[codes] - (ends - width), width) + np.arange(int(ends[-1]) if len(ends) else 0)
+        whole, bounds = ids[at].tobytes(), 4 * np.concatenate([[0], ends])[starts]
+        out = [whole[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        for k in special:
+            out[k] = self.encode_special(texts[k])
+        return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        step = max(1, min(rows, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes))))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
