@@ -98,6 +98,7 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     """(conv_id, chosen_id, rejected_id, chosen, rejected): every conversation against the best with its opening turn."""
     whole = materialize(conversations(turns), "conversations")
     best = whole.groupBy("opening").agg(F.max(F.struct("spoken", (-F.col("conv_id")).alias("low"))).alias("best")).select("opening", (-F.col("best.low")).alias("chosen_id"))
+    best = materialize(best, "best-of-opening")  # so the join's sides are plain shuffles, which adaptive execution splits
     paired = whole.join(best, "opening").withColumn("is_best", F.col("conv_id") == F.col("chosen_id"))
     chosen = whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
     return paired.join(chosen, "chosen_id").select(
