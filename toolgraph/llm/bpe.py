@@ -29,6 +29,7 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,8 +190,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids = encoder(path).encode(batch.column(1).to_pylist())
-            n = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(ids, pa.binary())], [id_col, "n_tokens", "token_ids"])
+            n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 4)
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, ids], [id_col, "n_tokens", "token_ids"])
 
     return rows.mapInArrow(run, schema)
 

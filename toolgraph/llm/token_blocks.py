@@ -46,6 +46,8 @@ MAGIC = b"PFR1"
 HEAD = struct.Struct("<IBH")
 #: chunks in one text for the library
 AT_ONCE = 512
+#: words to stand between chunks, rare ones first
+SEPARATOR_WORDS = ["¤", "¬", "†", "§", "|", "~"]
 SEGMENTS = T.StructType([
     T.StructField("shard", T.IntegerType()),
     T.StructField("segment", T.IntegerType()),
@@ -149,7 +151,7 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
 
 
 class LibraryEncoder(ChunkCache):
-    """Chunks as the tokenizers library encodes them, many in one call with an added token between them."""
+    """Chunks as the tokenizers library encodes them, many in one text with a separating word between them."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -160,22 +162,25 @@ class LibraryEncoder(ChunkCache):
         self.library.no_truncation()
         self.library.no_padding()
         self.added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        #: a separator is one token, which then stands for nothing but that word
+        self.separators = [(w, int(ids[0])) for w, ids in zip(SEPARATOR_WORDS, self.ask(SEPARATOR_WORDS), strict=True) if len(ids) == 1]
 
     def ask(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_chunks(self, new: list[str]) -> list[bytes]:
-        if not self.added:
-            return [ids.tobytes() for ids in self.ask(new)]
-        mark, mark_id = next(iter(self.added.items()))
-        groups = [new[at : at + AT_ONCE] for at in range(0, len(new), AT_ONCE)]
         out: list[bytes] = []
-        for group, ids in zip(groups, self.ask([mark.join(g) for g in groups]), strict=True):
-            bounds = np.concatenate([[-1], np.flatnonzero(ids == mark_id), [len(ids)]]).tolist()
+        for at in range(0, len(new), AT_ONCE):
+            group = new[at : at + AT_ONCE]
+            usable = [s for s in self.separators if not any(s[0] in c for c in group)]
+            if not usable:
+                out += [ids.tobytes() for ids in self.ask(group)]
+                continue
+            word, mark = usable[0]
+            ids = self.ask([f" {word} ".join(group)])[0]
+            bounds = np.concatenate([[-1], np.flatnonzero(ids == mark), [len(ids)]]).tolist()
             packed = ids.tobytes()
             out += [packed[4 * a + 4 : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            if len(bounds) != len(group) + 1:
-                raise ValueError("a chunk holds the token that separates chunks")
         return out
 
     def encode_special(self, text: str) -> bytes:
@@ -207,7 +212,7 @@ def write_blocks(docs: DataFrame, path: str, out: str, end_id: int = END_ID, seg
             )
 
         for batch in slices(batches):
-            for doc_id, encoded in zip(batch.column(0).to_pylist(), library_encoder(path).encode(batch.column(1).to_pylist()), strict=True):
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), library_encoder(path).encode(batch.column(1).to_pylist()).to_pylist(), strict=True):
                 ids.append(doc_id)
                 held.append(encoded + end)
                 n += len(encoded) // 4 + 1

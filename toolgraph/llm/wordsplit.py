@@ -20,11 +20,11 @@ import pyarrow.compute as pc
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 #: rows of one batch that are handled, and handed on, at once
-SLICE = 512
+SLICE = 2048
 
 
 #: chunks that a worker's cache holds before it starts anew
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
 #: bytes of one batch that are handled at once, if that is fewer rows
 SLICE_BYTES = 1 << 25
 
@@ -58,40 +58,47 @@ def distinct_chunks(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), starts
 
 
-class ChunkCache(dict):
+class ChunkCache:
     """From chunk to ids as little-endian unsigned 32-bit integers. Subclasses say how chunks, and texts with an added token's string, are encoded."""
 
     added: dict[str, int]
 
+    def __init__(self) -> None:
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
     def encode_chunks(self, new: list[str]) -> list[bytes]:
         raise NotImplementedError
 
     def encode_special(self, text: str) -> bytes:
         raise NotImplementedError
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts; null is empty. Every distinct chunk of the texts is looked up once."""
+    def look_up(self, distinct: list[str]) -> list[bytes]:
+        """Ids of chunks. What was not asked for during the last half of the cache is forgotten."""
+        if len(self.recent) + len(distinct) > CACHE_ENTRIES // 2:
+            self.recent, self.older = {}, self.recent
+        recent, older = self.recent, self.older
+        recent |= {c: older[c] for c in distinct if c not in recent and c in older}
+        new = [c for c in distinct if c not in recent]
+        recent.update(zip(new, self.encode_chunks(new), strict=True))
+        return [recent[c] for c in distinct]
+
+    def encode(self, texts: list[str | None]) -> pa.Array:
+        """Ids of whole texts, packed; null is empty. Every distinct chunk of the texts is looked up once."""
         special = [k for k, t in enumerate(texts) if t and any(a in t for a in self.added)]
         plain = [t or "" for t in texts]
         for k in special:
             plain[k] = ""
         distinct, codes, starts = distinct_chunks(plain)
-        new = [c for c in distinct if c not in self]
-        if len(self) + len(new) > CACHE_ENTRIES:
-            self.clear()
-            new = distinct
-        self.update(zip(new, self.encode_chunks(new), strict=True))
-        packed = [self[c] for c in distinct]
-        n = np.array([len(p) for p in packed], np.int64) // 4
-        ids = np.frombuffer(b"".join(packed), "<u4")
-        width = n[codes]
-        ends = np.cumsum(width)
-        at = np.repeat((np.cumsum(n) - n)[codes] - (ends - width), width) + np.arange(int(ends[-1]) if len(ends) else 0)
-        whole, bounds = ids[at].tobytes(), 4 * np.concatenate([[0], ends])[starts]
-        out = [whole[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        taken = pa.array(self.look_up(distinct), pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(codes) + 1] if len(codes) else np.zeros(1, np.int64)
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends[starts]), taken.buffers()[2]])
+        if not special:
+            return whole.cast(pa.binary())
+        out = whole.to_pylist()
         for k in special:
             out[k] = self.encode_special(texts[k])
-        return out
+        return pa.array(out, pa.binary())
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
