@@ -35,9 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from toolgraph.llm.wordsplit import CACHE_ENTRIES, ChunkCache, chunks, slices
+from toolgraph.llm.wordsplit import ChunkCache, chunks, slices
 
 END_OF_WORD = "</w>"
+#: token pairs whose compatibility a worker remembers before it starts anew
+PAIR_ENTRIES = 250_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -92,7 +94,7 @@ class Vocabulary:
                 if (at := keys.get(key[:n])) is not None:
                     self.shorter[i] = at
                     break
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}
 
         spaced = [name.encode() + b" " for name in names]
         self.text_of = np.frombuffer(b"".join(spaced), dtype=np.uint8)
@@ -101,11 +103,12 @@ class Vocabulary:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether exact BPE can leave ``a`` and ``b`` side by side."""
-        known = self._compatible.get((a, b))
+        pair = a * len(self.left) + b
+        known = self._compatible.get(pair)
         if known is None:
-            if len(self._compatible) >= CACHE_ENTRIES:
+            if len(self._compatible) >= PAIR_ENTRIES:
                 self._compatible.clear()
-            known = self._compatible[a, b] = self._seam_holds(a, b)
+            known = self._compatible[pair] = self._seam_holds(a, b)
         return known
 
     def _seam_holds(self, a: int, b: int) -> bool:
@@ -164,6 +167,8 @@ class Vocabulary:
 class Encoder(ChunkCache):
     """Exact BPE of chunks by backtracking."""
 
+    entries = 400_000
+
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary, self.added = vocabulary, vocabulary.added

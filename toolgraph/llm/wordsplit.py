@@ -19,14 +19,15 @@ import pyarrow.compute as pc
 #: Unicode white space; str.split also splits at U+001C to U+001F, which are not
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
+#: a run of these at the end of a chunk, behind one of the others, is a pre-token of its own
+MARKS = ".,;:!?"
+BEFORE_MARKS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß")
 #: rows of one batch that are handled, and handed on, at once
-SLICE = 2048
+SLICE = 1024
 
 
-#: chunks that a worker's cache holds before it starts anew
-CACHE_ENTRIES = 1_000_000
 #: bytes of one batch that are handled at once, if that is fewer rows
-SLICE_BYTES = 1 << 25
+SLICE_BYTES = 1 << 23
 
 
 def cleaned(text: str) -> str:
@@ -62,6 +63,8 @@ class ChunkCache:
     """From chunk to ids as little-endian unsigned 32-bit integers. Subclasses say how chunks, and texts with an added token's string, are encoded."""
 
     added: dict[str, int]
+    #: chunks that a worker remembers
+    entries = 1_000_000
 
     def __init__(self) -> None:
         self.recent: dict[str, bytes] = {}
@@ -74,14 +77,20 @@ class ChunkCache:
         raise NotImplementedError
 
     def look_up(self, distinct: list[str]) -> list[bytes]:
-        """Ids of chunks. What was not asked for during the last half of the cache is forgotten."""
-        if len(self.recent) + len(distinct) > CACHE_ENTRIES // 2:
+        """Ids of chunks, asked for without the sentence marks at their end. What was not asked for during the last half of the cache is forgotten."""
+        if len(self.recent) + len(distinct) > self.entries // 2:
             self.recent, self.older = {}, self.recent
-        recent, older = self.recent, self.older
-        recent |= {c: older[c] for c in distinct if c not in recent and c in older}
-        new = [c for c in distinct if c not in recent]
-        recent.update(zip(new, self.encode_chunks(new), strict=True))
-        return [recent[c] for c in distinct]
+        bare = [c.rstrip(MARKS) for c in distinct]
+        bare = [b if b and b[-1] in BEFORE_MARKS else c for b, c in zip(bare, distinct, strict=True)]
+        ends = [c[len(b) :] for b, c in zip(bare, distinct, strict=True)]
+        found = list(map(self.recent.get, bare))
+        missing = {bare[k]: None for k, f in enumerate(found) if f is None}
+        self.recent |= {b: f for b in missing if (f := self.older.get(b)) is not None}
+        new = [b for b in missing if b not in self.recent]
+        self.recent.update(zip(new, self.encode_chunks(new), strict=True))
+        marks = list(set(ends))
+        of_marks = dict(zip(marks, self.encode_chunks(marks), strict=True)) | {"": b""}
+        return [(self.recent[b] if f is None else f) + of_marks[e] for b, f, e in zip(bare, found, ends, strict=True)]
 
     def encode(self, texts: list[str | None]) -> pa.Array:
         """Ids of whole texts, packed; null is empty. Every distinct chunk of the texts is looked up once."""
