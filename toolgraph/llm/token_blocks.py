@@ -233,7 +233,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """One row a document, read back from the segments: doc_id, start, n_tokens, token_ids (binary, with the end id)."""
     segments = spark.read.schema(SEGMENTS).parquet(path)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # one row a shard, that is, a write task
+    # one row a shard, that is, a write task: as many as the shuffle has partitions, a few bytes each
     shards = segments.groupBy("shard").agg(F.sum("n_ids").alias("ids")).select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("shard_start"))
     schema = T.StructType([
         T.StructField("shard", T.IntegerType()),
@@ -261,7 +261,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
             )
 
     payloads = segments.select("shard", "first_id", "doc_ids", "n_tokens", "payload")
-    return payloads.mapInArrow(run, schema).join(shards, "shard").select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "token_ids")
+    return payloads.mapInArrow(run, schema).join(F.broadcast(shards), "shard").select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "token_ids")
 
 
 def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
