@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from toolgraph.llm.wordsplit import ChunkCache, chunks, slices
+from toolgraph.llm.wordsplit import ENCODED_BYTES, ChunkCache, chunks, slices
 
 END_OF_WORD = "</w>"
 #: token pairs whose compatibility a worker remembers before it starts anew
@@ -183,8 +183,8 @@ class Encoder(ChunkCache):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(Vocabulary(path))
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,8 +193,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     schema = T.StructType([rows.schema[0], T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            ids = encoder(path).encode(batch.column(1).to_pylist())
+        encoder = Encoder(vocabulary(path))  # a task's own, so that idle workers hold no chunks
+        for batch in slices(batches, size=ENCODED_BYTES):
+            ids = encoder.encode(batch.column(1).to_pylist())
             n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 4)
             yield pa.RecordBatch.from_arrays([batch.column(0), n, ids], [id_col, "n_tokens", "token_ids"])
 
@@ -207,7 +208,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids") -> DataFra
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = encoder(path).vocabulary
+        table = vocabulary(path)
         for batch in slices(batches):
             packed = [x or b"" for x in batch.column(names.index(ids_col)).to_pylist()]
             starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int64)

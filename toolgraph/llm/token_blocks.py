@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from toolgraph.scratch import new_path
-from toolgraph.llm.wordsplit import ChunkCache, slices
+from toolgraph.llm.wordsplit import ENCODED_BYTES, ChunkCache, slices
 
 BLOCK = 256
 SEGMENT_IDS = 1 << 18
@@ -211,7 +211,7 @@ def write_blocks(docs: DataFrame, path: str, out: str, end_id: int = END_ID, seg
                 SEGMENTS.names,
             )
 
-        for batch in slices(batches):
+        for batch in slices(batches, size=ENCODED_BYTES):
             for doc_id, encoded in zip(batch.column(0).to_pylist(), library_encoder(path).encode(batch.column(1).to_pylist()).to_pylist(), strict=True):
                 ids.append(doc_id)
                 held.append(encoded + end)

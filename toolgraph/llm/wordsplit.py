@@ -26,8 +26,10 @@ BEFORE_MARKS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789àáâãäåæçè
 SLICE = 1024
 
 
-#: bytes of one batch that are handled at once, if that is fewer rows
-SLICE_BYTES = 1 << 23
+#: bytes of one batch that are handled at once, if that is fewer rows; numpy work on characters takes a hundred times as much memory
+SLICE_BYTES = 1 << 21
+#: the same for encoders, which look each chunk up once a slice
+ENCODED_BYTES = 1 << 23
 
 
 def cleaned(text: str) -> str:
@@ -110,8 +112,9 @@ class ChunkCache:
         return pa.array(out, pa.binary())
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows and about ``size`` bytes."""
     for batch in batches:
-        step = max(1, min(rows, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes))))
+        step = max(1, min(rows, int(batch.num_rows * size / max(1, batch.nbytes))))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
