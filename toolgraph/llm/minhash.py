@@ -50,6 +50,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 DF_BITS = 18
 CHUNK = 1 << 10
+#: shingles before a shared one that show whether it is the first
+EARLIER = 16
 SEED = 0x5DEECE66D
 ROWS_AT_ONCE = 128
 #: shingles that are sampled at once
@@ -210,13 +212,15 @@ def unchecked_pairs(sets: DataFrame, idf, threshold: float) -> DataFrame:
     ``sets`` has (doc_id, shingles, component, stray). Shingles stand in one order for all, rarest first. Documents
     whose similarity is t share at least t / (1 + t) of their summed weight, so their first common shingle stands
     within the first 1 - t of either's weight, and neither has more weight before it than the other can do without.
-    A common shingle of a large group thus matches only documents that have next to nothing before it.
+    A common shingle of a large group thus matches only documents that have next to nothing before it. Each shingle
+    carries the ``EARLIER`` ones just before it; a match with one of those in common is not a pair's first and is left out.
     """
-    schema = T.StructType([*[sets.schema[c] for c in ("doc_id", "component", "stray")], T.StructField("shingle", T.LongType()), T.StructField("left", T.DoubleType()), T.StructField("weight", T.DoubleType())])
+    schema = T.StructType([*[sets.schema[c] for c in ("doc_id", "component", "stray")], T.StructField("shingle", T.LongType()), T.StructField("left", T.DoubleType()), T.StructField("weight", T.DoubleType()), T.StructField("earlier", T.ArrayType(T.LongType()))])
+    back = np.arange(EARLIER, 0, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
-            kept, lefts, weights = [], [], []
+            kept, lefts, weights, earlier, held = [], [], [], [], []
             for packed in batch.column(3):
                 shingles, counts = np.unique(np.frombuffer(packed.as_py(), np.uint64), return_counts=True)
                 own = idf.value[bucket_of(shingles)]
@@ -227,15 +231,20 @@ def unchecked_pairs(sets: DataFrame, idf, threshold: float) -> DataFrame:
                 kept.append(shingles[order][:n].view(np.int64))
                 lefts.append(w.sum() - before[:n])
                 weights.append(np.full(n, w.sum()))
+                place = np.arange(n)[:, None] - back
+                earlier.append(kept[-1][place[place >= 0]])
+                held.append(np.minimum(np.arange(n), EARLIER))
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(held))]).astype(np.int32)
+            before_it = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(earlier)))
             of = pa.array(np.repeat(np.arange(len(kept)), [len(k) for k in kept]))
             columns = [c.take(of) for c in batch.columns[:3]]
-            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.concatenate(c)) for c in (kept, lefts, weights)]], schema.names)
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.concatenate(c)) for c in (kept, lefts, weights)], before_it], schema.names)
 
     prefixes = materialize(sets.select("doc_id", "component", "stray", "shingles").mapInArrow(run, schema), "prefixes")
     x, y = prefixes.filter("stray").alias("x"), prefixes.alias("y")
     enough = (F.col("x.weight") + F.col("y.weight")) * (threshold / (1 + threshold)) - 1e-9
     meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
-    found = x.join(y, meet & (F.col("x.left") >= enough) & (F.col("y.left") >= enough))
+    found = x.join(y, meet & (F.col("x.left") >= enough) & (F.col("y.left") >= enough) & ~F.arrays_overlap("x.earlier", "y.earlier"))
     return found.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
 
 
