@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from toolgraph.llm import bpe, exact_dedup, language_id, minhash, mixing
 from toolgraph.scratch import materialize
@@ -21,8 +20,7 @@ from toolgraph.scratch import materialize
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that no language model accepts (no letters, or cross-entropy far above its language's)."""
-    rejected = language_id.identify(docs, language_id.train(docs)).filter("rejected").select(F.col("doc_id").alias("__rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["__rejected"]), "left_anti")
+    return language_id.keep_known(docs, language_id.train(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

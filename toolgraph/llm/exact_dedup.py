@@ -89,10 +89,19 @@ def digest_groups(docs: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> Da
 
 
 def drop_exact_copies(docs: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
-    """The documents that stay, with all their columns; rows repeated under one id stay once."""
-    kept = digest_groups(docs, runs, fan_in).filter("kept").select("doc_id", "keep_id").distinct()
-    on = docs["doc_id"].eqNullSafe(kept["doc_id"])
-    return docs.join(kept, on, "left_semi")
+    """One document of each group, with all its columns: of the winning id's rows any one, if several hold the text."""
+    kept = digest_groups(docs, runs, fan_in).filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).count()
+    kept = materialize(kept, "kept")
+    keyed = docs.withColumn("__own_sha", F.sha2(normalised(docs["text"]), 256))
+
+    def rows(winners: DataFrame) -> DataFrame:
+        return keyed.join(winners, keyed["doc_id"].eqNullSafe(winners["__id"]) & (keyed["__own_sha"] == winners["__sha"]), "left_semi")
+
+    stay = rows(kept.filter("count = 1"))
+    repeated = kept.filter("count > 1")
+    if not repeated.isEmpty():
+        stay = stay.union(rows(repeated).dropDuplicates(["doc_id", "__own_sha"]))
+    return stay.drop("__own_sha")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

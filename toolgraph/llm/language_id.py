@@ -280,6 +280,19 @@ def identify(docs: DataFrame, identifier: Identifier) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, identifier: Identifier) -> DataFrame:
+    """The rows whose own text is not rejected, with all their columns; each row is judged for itself."""
+    shared = docs.sparkSession.sparkContext.broadcast(identifier)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            known = [not rejected for *_, rejected in shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())]
+            own = pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1])
+            yield own.filter(pa.array(known, pa.bool_()))
+
+    return docs.select("*", F.col("text").cast("string").alias("__text")).mapInArrow(run, docs.schema)
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     found = identify(docs, train(docs))

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from toolgraph.llm.rows import ids_tell_rows_apart
 from toolgraph.llm.shingles import mix, shingle_hashes, word_hashes
 from toolgraph.llm.wordsplit import slices
 from toolgraph.operators.components import connected_components
@@ -296,7 +297,15 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: floa
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that stay, with all their columns: one of each class, and those without a doc_id."""
+    """The documents that stay, with all their columns: one of each class, and those without a doc_id. Several texts under one id are judged each for itself."""
+    if not ids_tell_rows_apart(docs.filter("doc_id IS NOT NULL").select("doc_id")):
+        text = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256)
+        texts = docs.filter("doc_id IS NOT NULL").select("doc_id", F.col("text").cast("string").alias("text"), text.alias("sha")).dropDuplicates(["doc_id", "sha"])
+        # numbers in the order of (doc_id, text's digest), so that the smallest doc_id still wins
+        texts = materialize(texts.repartitionByRange("doc_id", "sha").sortWithinPartitions("doc_id", "sha").withColumn("row", F.monotonically_increasing_id()), "texts")
+        gone = near_duplicate_classes(texts.select(F.col("row").alias("doc_id"), "text"), size, threshold).filter("NOT kept").select(F.col("doc_id").alias("row"))
+        gone = texts.join(gone, "row").select(F.col("doc_id").alias("__gone"), F.col("sha").alias("__sha"))
+        return docs.join(gone, (docs["doc_id"] == gone["__gone"]) & (text == gone["__sha"]), "left_anti")
     gone = near_duplicate_classes(docs, size, threshold).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 

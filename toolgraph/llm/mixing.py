@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from toolgraph.llm.rows import ids_tell_rows_apart, row_digest
+
 WEIGHTS = (3.0, 1.0, 2.0)
 #: (weight at the start, weight at the end) of training, for sources by rank, repeating
 SCHEDULES = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
@@ -89,9 +91,10 @@ def mix(
     schedules: Sequence[tuple[float, float]] = SCHEDULES,
     budget: float = BUDGET,
     max_epochs: int = MAX_EPOCHS,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """One row a document: doc_id, size, source_size, target, taken, repeats, positions (one a copy taken, 0..1)."""
-    sized = docs.select("doc_id", "source", words(F.col("text")).alias("size")).withColumn(
+    """One row a document: doc_id, size, source_size, target, taken, repeats, positions (one a copy taken, 0..1), and the columns ``keys``."""
+    sized = docs.select("doc_id", "source", *keys, words(F.col("text")).alias("size")).withColumn(
         "place", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     ).withColumn("bucket", F.substring("place", 1, 3))
     sized = sized.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
@@ -106,7 +109,7 @@ def mix(
         .join(targets, "source_key")
         .drop("bucket_size")
     )
-    within = Window.partitionBy("source_key", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source_key", "bucket").orderBy("place", "doc_id", "size", *keys).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         sized.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
         .join(buckets, ["source_key", "bucket"])
@@ -122,7 +125,7 @@ def mix(
         placed.withColumn("positions", F.filter(copies, lambda p: p.isNotNull()))
         .withColumn("repeats", F.size("positions"))
         .withColumn("taken", F.col("repeats") * F.col("size"))
-        .select("doc_id", "size", "source_size", "target", "taken", "repeats", "positions", "place")
+        .select("doc_id", "size", "source_size", "target", "taken", "repeats", "positions", "place", *keys)
     )
 
 
@@ -135,9 +138,15 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents as training reads them: each taken copy is a row with all its columns, in training order."""
-    taken = mix(docs, **options).filter("repeats > 0").select(F.col("doc_id").alias("__id"), "positions").dropDuplicates(["__id"])
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"])).withColumn("__at", F.explode("positions"))
-    return rows.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*[docs[c] for c in docs.columns])
+    if ids_tell_rows_apart(docs.select("doc_id")):
+        taken = mix(docs, **options).filter("repeats > 0").select(F.col("doc_id").alias("__id"), "positions")
+        rows = docs.join(taken, docs["doc_id"] == taken["__id"]).withColumn("__at", F.explode("positions"))
+    else:
+        # equal rows have a place each but are one another's equals: all their places go to one of them
+        keyed = docs.withColumn("__row", row_digest(docs))
+        taken = mix(keyed, **options, keys=["__row"]).filter("repeats > 0").select("__row", F.explode("positions").alias("__at"))
+        rows = keyed.dropDuplicates(["__row"]).join(taken, "__row")
+    return rows.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*[F.col(c) for c in docs.columns])
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
