@@ -1,10 +1,9 @@
 """Near-dedup of documents by consistent weighted sampling over TF-IDF shingles.
 
-1. Document frequencies of shingles, over all documents, in a fixed table of
-   ``2**DF_BITS`` hashed counters (the hashing trick of a hashed TF-IDF): a
-   rare shingle's counter is near the corpus mean, a share of all documents
-   that does not depend on corpus size, and a common passage stands out. The
-   table's size is the bound of what is broadcast.
+1. Document frequencies of shingles, over all documents, counted exactly: each
+   document's distinct shingles are counted by a combinable aggregate, and the
+   frequencies above one are joined back to the documents that hold them, so
+   that nothing that grows with the corpus is broadcast.
 2. A document is its set of five-word shingles with weights tf * idf. Documents
    with the very same set and counts collapse into a class with one
    representative before anything is compared.
@@ -49,8 +48,6 @@ from toolgraph.scratch import materialize
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
-DF_BITS = 18
-CHUNK = 1 << 10
 #: shingles before a shared one that show whether it is the first
 EARLIER = 16
 SEED = 0x5DEECE66D
@@ -104,43 +101,78 @@ def document_shingles(texts: pa.Array, size: int) -> Iterator[tuple[np.ndarray,
         yield np.unique(shingle_hashes(words[a:b], size), return_counts=True)
 
 
-def bucket_of(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - DF_BITS)).astype(np.int64)
+class Frequencies:
+    """Inverse document frequencies: of the shingles given (sorted), and of all others, which one document holds."""
 
+    def __init__(self, documents: int, shingles: np.ndarray, held: np.ndarray):
+        self.documents, self.shingles, self.held = documents, shingles, held
 
-def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[int, np.ndarray]:
-    """Number of documents, and in how many of them each hashed counter occurs. Tasks add up dense counters, in chunks."""
-    schema = "chunk int, counts binary, documents long"
+    def idf(self, shingles: np.ndarray) -> np.ndarray:
+        held = np.ones(len(shingles), np.int64)
+        if len(self.shingles):
+            at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
+            held = np.where(self.shingles[at] == shingles, self.held[at], 1)
+        return np.log1p(self.documents / held)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(1 << DF_BITS, np.int64), 0
+    def packed(self) -> bytes:
+        return self.shingles.tobytes() + self.held.tobytes()
+
+    @classmethod
+    def unpacked(cls, documents: int, data: bytes) -> Frequencies:
+        half = len(data) // 2
+        return cls(documents, np.frombuffer(data[:half], np.uint64), np.frombuffer(data[half:], np.int64))
+
+    @classmethod
+    def of_pairs(cls, documents: int, shingles: np.ndarray, held: np.ndarray) -> Frequencies:
+        shingles = np.ascontiguousarray(shingles, np.int64).view(np.uint64)
+        order = np.argsort(shingles)
+        return cls(documents, shingles[order], np.asarray(held, np.int64)[order])
+
+
+def held_shingles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, shingle): the distinct shingles of each text."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("shingle", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
-            n += batch.num_rows
-            seen = [np.unique(bucket_of(s)) for s, _ in document_shingles(batch.column(0), size)]
-            total += np.bincount(np.concatenate(seen), minlength=1 << DF_BITS)
-        if n:
-            parts = total.reshape(-1, CHUNK)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array([p.astype("<i8").tobytes() for p in parts], pa.binary()), pa.array([n] + [0] * (len(parts) - 1), pa.int64())],
-                ["chunk", "counts", "documents"],
-            )
+            own = [s for s, _ in document_shingles(batch.column(1), size)]
+            of = pa.array(np.repeat(np.arange(len(own)), [len(s) for s in own]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(np.concatenate(own).view(np.int64), pa.int64())], schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
 
-    def add(table: pa.Table) -> pa.Table:
-        counts = sum(np.frombuffer(c, "<i8") for c in table["counts"].to_pylist())
-        return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([counts.tobytes()], pa.binary()), "documents": pa.array([sum(table["documents"].to_pylist())], pa.int64())})
+def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[int, DataFrame]:
+    """Number of documents, and (shingle, held): in how many of them each shingle occurs that more than one has."""
+    counts = held_shingles(docs, size).groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    return docs.count(), counts
 
-    summed = docs.select("text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).collect()  # 2**DF_BITS counters
-    total = np.zeros((1 << DF_BITS) // CHUNK * CHUNK, np.int64)
-    for row in summed:
-        total[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, "<i8")
-    return sum(row.documents for row in summed), total
 
+def inverse_frequencies(n: int, counts: DataFrame) -> Frequencies:
+    """All frequencies in one place: for small tables only."""
+    rows = counts.collect()
+    return Frequencies.of_pairs(n, np.array([r.shingle for r in rows], np.int64), np.array([r.held for r in rows], np.int64))
 
-def inverse_frequencies(n: int, counts: np.ndarray) -> np.ndarray:
-    return np.log1p(n / np.maximum(counts, 1))
 
+def with_frequencies(docs: DataFrame, n: int, counts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, text, frequencies): those of the document's shingles, packed."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("text", T.StringType()), T.StructField("frequencies", T.BinaryType())])
+    own = held_shingles(docs, size).join(counts, "shingle").groupBy("doc_id").agg(F.collect_set(F.struct("shingle", "held")).alias("own"))
+    joined = docs.join(own, "doc_id", "left").select("doc_id", "text", F.col("own.shingle").alias("shingle"), F.col("own.held").alias("held"))
 
-def signatures(docs: DataFrame, idf, size: int = SHINGLE) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        for batch in batches:
+            packed = [
+                Frequencies.of_pairs(n, x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)).packed() if x.is_valid else Frequencies.of_pairs(n, none, none).packed()
+                for x, y in zip(batch.column(2), batch.column(3), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], schema.names)
+
+    return joined.mapInArrow(run, schema)
+
+
+def signatures(docs: DataFrame, n: int, size: int = SHINGLE) -> DataFrame:
     """(doc_id, print_1, print_2, bands): two hashes of the whole weighted set, and a hash of each band; null without shingles."""
     schema = T.StructType([docs.schema["doc_id"], *[T.StructField(f"print_{k}", T.LongType()) for k in (1, 2)], T.StructField("bands", T.ArrayType(T.LongType()))])
 
@@ -148,13 +180,13 @@ def signatures(docs: DataFrame, idf, size: int = SHINGLE) -> DataFrame:
         for batch in slices(batches, ROWS_AT_ONCE):
             prints: tuple[list, list] = ([], [])
             bands: list = []
-            for shingles, counts in document_shingles(batch.column(1), size):
+            for (shingles, counts), own in zip(document_shingles(batch.column(1), size), batch.column(2), strict=True):
                 if not len(shingles):
                     bands.append(None)
                     prints[0].append(None)
                     prints[1].append(None)
                     continue
-                log_weights = np.log(counts * idf.value[bucket_of(shingles)])
+                log_weights = np.log(counts * Frequencies.unpacked(n, own.as_py()).idf(shingles))
                 samples = weighted_samples(shingles, log_weights, _odd).reshape(BANDS, ROWS)
                 code = np.zeros(BANDS, np.uint64)
                 for k in range(ROWS):
@@ -165,49 +197,49 @@ def signatures(docs: DataFrame, idf, size: int = SHINGLE) -> DataFrame:
                 prints[1].append(int(mix(both).sum().view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(p, pa.int64()) for p in prints], pa.array(bands, pa.list_(pa.int64()))], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    return docs.select("doc_id", "text", "frequencies").mapInArrow(sign, schema)
 
 
 def shingle_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, shingles): sorted shingles as bytes, each as often as it occurs."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("shingles", T.BinaryType())])
+    """(doc_id, shingles, frequencies): sorted shingles as bytes, each as often as it occurs."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("shingles", T.BinaryType()), T.StructField("frequencies", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
             sets = [np.repeat(s, n).tobytes() for s, n in document_shingles(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), batch.column(2)], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", "frequencies").mapInArrow(run, schema)
 
 
-def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
-    """Of two sorted multisets of shingles."""
+def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: Frequencies, of_b: Frequencies | None = None) -> float:
+    """Of two sorted multisets of shingles; ``of_b``: frequencies of the second, if not in ``idf`` too."""
     (x, m), (y, n) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
     common, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    both = float((np.minimum(m[i], n[j]) * idf[bucket_of(common)]).sum())
-    return both / (float((m * idf[bucket_of(x)]).sum()) + float((n * idf[bucket_of(y)]).sum()) - both)
+    both = float((np.minimum(m[i], n[j]) * idf.idf(common)).sum())
+    return both / (float((m * idf.idf(x)).sum()) + float((n * (of_b or idf).idf(y)).sum()) - both)
 
 
-def verified_links(pairs: DataFrame, sets: DataFrame, idf, threshold: float) -> DataFrame:
+def verified_links(pairs: DataFrame, sets: DataFrame, documents: int, threshold: float) -> DataFrame:
     """The pairs (a, b) whose weighted Jaccard similarity is at least ``threshold``."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"), F.col("frequencies").alias("idf_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"), F.col("frequencies").alias("idf_b"))
     kind = pairs.schema["a"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             near = [
-                weighted_jaccard(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), idf.value)
-                for x, y in zip(batch.column(2), batch.column(3), strict=True)
+                weighted_jaccard(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), Frequencies.unpacked(documents, f.as_py()), Frequencies.unpacked(documents, g.as_py()))
+                for x, y, f, g in zip(*batch.columns[2:], strict=True)
             ]
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.float64())], schema.names)
             yield out.filter(pa.array([s >= threshold for s in near], pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b").mapInArrow(run, schema)
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b", "idf_a", "idf_b").mapInArrow(run, schema)
 
 
-def unchecked_pairs(sets: DataFrame, idf, threshold: float) -> DataFrame:
+def unchecked_pairs(sets: DataFrame, documents: int, threshold: float) -> DataFrame:
     """(a, b): every pair of a stray with a document of another component that can be similar enough, by prefix filtering.
 
     ``sets`` has (doc_id, shingles, component, stray). Shingles stand in one order for all, rarest first. Documents
@@ -222,9 +254,9 @@ def unchecked_pairs(sets: DataFrame, idf, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
             kept, lefts, weights, earlier, held = [], [], [], [], []
-            for packed in batch.column(3):
+            for packed, frequencies in zip(batch.column(3), batch.column(4), strict=True):
                 shingles, counts = np.unique(np.frombuffer(packed.as_py(), np.uint64), return_counts=True)
-                own = idf.value[bucket_of(shingles)]
+                own = Frequencies.unpacked(documents, frequencies.as_py()).idf(shingles)
                 order = np.lexsort((shingles, -own))
                 w = (own * counts)[order]
                 before = np.concatenate([[0.0], np.cumsum(w)[:-1]])
@@ -241,7 +273,7 @@ def unchecked_pairs(sets: DataFrame, idf, threshold: float) -> DataFrame:
             columns = [c.take(of) for c in batch.columns[:3]]
             yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.concatenate(c)) for c in (kept, lefts, weights)], before_it], schema.names)
 
-    prefixes = materialize(sets.select("doc_id", "component", "stray", "shingles").mapInArrow(run, schema), "prefixes")
+    prefixes = materialize(sets.select("doc_id", "component", "stray", "shingles", "frequencies").mapInArrow(run, schema), "prefixes")
     x, y = prefixes.filter("stray").alias("x"), prefixes.alias("y")
     enough = (F.col("x.weight") + F.col("y.weight")) * (threshold / (1 + threshold)) - 1e-9
     meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
@@ -251,12 +283,11 @@ def unchecked_pairs(sets: DataFrame, idf, threshold: float) -> DataFrame:
 
 def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row a document: doc_id, class_id (smallest doc_id of its class), class_size, kept (doc_id = class_id)."""
-    spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL")
     n, counts = document_frequencies(docs, size)
-    idf = spark.sparkContext.broadcast(inverse_frequencies(n, counts))
+    docs = materialize(with_frequencies(docs, n, counts, size), "frequencies")
 
-    signed = materialize(signatures(docs, idf, size), "signatures")
+    signed = materialize(signatures(docs, n, size), "signatures")
     prints = ["print_1", "print_2"]
     firsts = signed.filter("bands IS NOT NULL").groupBy(*prints).agg(F.min("doc_id").alias("rep"))
     member = materialize(
@@ -276,7 +307,7 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: floa
     )
     wanted = rows.select("doc_id").distinct()
     sets = materialize(shingle_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), size), "shingle-sets")
-    links = materialize(verified_links(pairs, sets, idf, threshold), "links")
+    links = materialize(verified_links(pairs, sets, n, threshold), "links")
     labels = connected_components(links, "a", "b")
 
     # what a bucket holds outside its main component may still link to other components
@@ -285,8 +316,8 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: floa
     main = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("components"), F.max(F.struct("n", "component")).alias("top")).filter("components > 1")
     stray = F.max(F.col("component") != F.col("top.component")).alias("stray")
     mixed = materialize(placed.join(main, "bucket").groupBy("doc_id", "component").agg(stray), "mixed-documents")
-    rest = unchecked_pairs(sets.join(mixed, "doc_id"), idf, threshold).join(pairs, ["a", "b"], "left_anti")
-    late = materialize(verified_links(materialize(rest, "late-pairs"), sets, idf, threshold), "links")
+    rest = unchecked_pairs(sets.join(mixed, "doc_id"), n, threshold).join(pairs, ["a", "b"], "left_anti")
+    late = materialize(verified_links(materialize(rest, "late-pairs"), sets, n, threshold), "links")
     if not late.isEmpty():
         labels = connected_components(links.union(late), "a", "b")
 
