@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: frees a query's shuffle files when the query ends
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a private temporary folder only where it is unset (tests, local mode)."""
+    """``spark.checkpoint.dir``; where it is unset, a private temporary folder in local mode, an error on a cluster (executors do not see the driver's disk)."""
     base = spark.conf.get("spark.checkpoint.dir", "")
     if base:
         return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="toolgraph-")
@@ -26,10 +31,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` once as Parquet in the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The shuffle files of the query that wrote it go with it, since nothing reads them any more.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
