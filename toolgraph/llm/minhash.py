@@ -1,9 +1,8 @@
 """Near-dedup of documents by consistent weighted sampling over TF-IDF shingles.
 
-1. Document frequencies of shingles, over all documents, counted exactly: each
-   document's distinct shingles are counted by a combinable aggregate, and the
-   frequencies above one are joined back to the documents that hold them, so
-   that nothing that grows with the corpus is broadcast.
+1. Document frequencies of shingles, over all documents, counted exactly by
+   blocks of documents (:mod:`toolgraph.llm.frequencies`), so that nothing that
+   grows with the corpus is broadcast and no common shingle is a hot key.
 2. A document is its set of five-word shingles with weights tf * idf. Documents
    with the very same set and counts collapse into a class with one
    representative before anything is compared.
@@ -39,11 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from toolgraph.llm.frequencies import Shared, by_planes, corpus_size, document_shingles, from_planes, packed, shared_shingles, unpacked, with_shared
 from toolgraph.llm.rows import ids_tell_rows_apart
-from toolgraph.llm.shingles import mix, shingle_hashes, word_hashes
+from toolgraph.llm.shingles import mix
 from toolgraph.llm.wordsplit import slices
 from toolgraph.operators.components import connected_components
-from toolgraph.scratch import materialize
+from toolgraph.scratch import drop, materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -94,13 +94,6 @@ def weighted_samples(shingles: np.ndarray, log_weights: np.ndarray, odd: np.ndar
     return chosen
 
 
-def document_shingles(texts: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted distinct shingles of each text, and their counts."""
-    words, starts = word_hashes(texts)
-    for a, b in zip(starts[:-1], starts[1:], strict=True):
-        yield np.unique(shingle_hashes(words[a:b], size), return_counts=True)
-
-
 class Frequencies:
     """Inverse document frequencies: of the shingles given (sorted), and of all others, which one document holds."""
 
@@ -115,134 +108,106 @@ class Frequencies:
         return np.log1p(self.documents / held)
 
     def packed(self) -> bytes:
-        return self.shingles.tobytes() + self.held.tobytes()
+        return packed(self.shingles) + by_planes(self.held.astype(np.uint32))
 
     @classmethod
     def unpacked(cls, documents: int, data: bytes) -> Frequencies:
-        half = len(data) // 2
-        return cls(documents, np.frombuffer(data[:half], np.uint64), np.frombuffer(data[half:], np.int64))
-
-    @classmethod
-    def of_pairs(cls, documents: int, shingles: np.ndarray, held: np.ndarray) -> Frequencies:
-        shingles = np.ascontiguousarray(shingles, np.int64).view(np.uint64)
-        order = np.argsort(shingles)
-        return cls(documents, shingles[order], np.asarray(held, np.int64)[order])
-
-
-def held_shingles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, shingle): the distinct shingles of each text."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("shingle", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            own = [s for s, _ in document_shingles(batch.column(1), size)]
-            of = pa.array(np.repeat(np.arange(len(own)), [len(s) for s in own]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(np.concatenate(own).view(np.int64), pa.int64())], schema.names)
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+        cut = len(data) // 12 * 8
+        return cls(documents, unpacked(data[:cut]), from_planes(data[cut:], np.uint32).astype(np.int64))
 
 
 def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[int, DataFrame]:
-    """Number of documents, and (shingle, held): in how many of them each shingle occurs that more than one has."""
-    counts = held_shingles(docs, size).groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    return docs.count(), counts
+    """Number of documents, and in how many of them each shingle occurs that more than one has, by blocks (:mod:`toolgraph.llm.frequencies`)."""
+    n, blocks = corpus_size(docs)
+    return n, shared_shingles(docs.select("doc_id", "text"), size, blocks)
 
 
 def inverse_frequencies(n: int, counts: DataFrame) -> Frequencies:
     """All frequencies in one place: for small tables only."""
     rows = counts.collect()
-    return Frequencies.of_pairs(n, np.array([r.shingle for r in rows], np.int64), np.array([r.held for r in rows], np.int64))
+    found = Shared([bytes(r.shingles) for r in rows], [bytes(r.held) for r in rows])
+    return Frequencies(n, found.shingles, found.held)
 
 
-def with_frequencies(docs: DataFrame, n: int, counts: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, text, frequencies): those of the document's shingles, packed."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("text", T.StringType()), T.StructField("frequencies", T.BinaryType())])
-    own = held_shingles(docs, size).join(counts, "shingle").groupBy("doc_id").agg(F.collect_set(F.struct("shingle", "held")).alias("own"))
-    joined = docs.join(own, "doc_id", "left").select("doc_id", "text", F.col("own.shingle").alias("shingle"), F.col("own.held").alias("held"))
+def with_frequencies(docs: DataFrame, n: int, counts: DataFrame, size: int = SHINGLE, blocks: int | None = None, only: DataFrame | None = None) -> DataFrame:
+    """(doc_id, frequencies, counts): the distinct shingles of each text with their document frequencies, and how often each occurs, packed. ``only``: a table of the doc_ids wanted."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("frequencies", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.int64)
-        for batch in batches:
-            packed = [
-                Frequencies.of_pairs(n, x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False)).packed() if x.is_valid else Frequencies.of_pairs(n, none, none).packed()
-                for x, y in zip(batch.column(2), batch.column(3), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], schema.names)
+    def work(batch: pa.RecordBatch, shared: Shared) -> Iterator[pa.RecordBatch]:
+        own = list(document_shingles(batch.column(1), size))
+        packs = [Frequencies(n, s, shared.of(s)).packed() for s, _ in own]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packs, pa.binary()), pa.array([by_planes(c.astype(np.uint32)) for _, c in own], pa.binary())], schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return with_shared(docs, counts, blocks or corpus_size(docs)[1], work, schema, only)
 
 
-def signatures(docs: DataFrame, n: int, size: int = SHINGLE) -> DataFrame:
+def signatures(docs: DataFrame, n: int, counts: DataFrame, blocks: int, size: int = SHINGLE) -> DataFrame:
     """(doc_id, print_1, print_2, bands): two hashes of the whole weighted set, and a hash of each band; null without shingles."""
     schema = T.StructType([docs.schema["doc_id"], *[T.StructField(f"print_{k}", T.LongType()) for k in (1, 2)], T.StructField("bands", T.ArrayType(T.LongType()))])
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            prints: tuple[list, list] = ([], [])
-            bands: list = []
-            for (shingles, counts), own in zip(document_shingles(batch.column(1), size), batch.column(2), strict=True):
-                if not len(shingles):
-                    bands.append(None)
-                    prints[0].append(None)
-                    prints[1].append(None)
-                    continue
-                log_weights = np.log(counts * Frequencies.unpacked(n, own.as_py()).idf(shingles))
-                samples = weighted_samples(shingles, log_weights, _odd).reshape(BANDS, ROWS)
-                code = np.zeros(BANDS, np.uint64)
-                for k in range(ROWS):
-                    code = mix(code + samples[:, k])
-                bands.append(code.view(np.int64))
-                both = mix(shingles + counts.astype(np.uint64) * np.uint64(SEED))
-                prints[0].append(int(both.sum().view(np.int64)))
-                prints[1].append(int(mix(both).sum().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(p, pa.int64()) for p in prints], pa.array(bands, pa.list_(pa.int64()))], schema.names)
-
-    return docs.select("doc_id", "text", "frequencies").mapInArrow(sign, schema)
-
-
-def shingle_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, shingles, frequencies): sorted shingles as bytes, each as often as it occurs."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("shingles", T.BinaryType()), T.StructField("frequencies", T.BinaryType())])
+    def sign(batch: pa.RecordBatch, shared: Shared) -> Iterator[pa.RecordBatch]:
+        prints: tuple[list, list] = ([], [])
+        bands: list = []
+        for shingles, times in document_shingles(batch.column(1), size):
+            if not len(shingles):
+                bands.append(None)
+                prints[0].append(None)
+                prints[1].append(None)
+                continue
+            log_weights = np.log(times * np.log1p(n / shared.of(shingles)))
+            samples = weighted_samples(shingles, log_weights, _odd).reshape(BANDS, ROWS)
+            code = np.zeros(BANDS, np.uint64)
+            for k in range(ROWS):
+                code = mix(code + samples[:, k])
+            bands.append(code.view(np.int64))
+            both = mix(shingles + times.astype(np.uint64) * np.uint64(SEED))
+            prints[0].append(int(both.sum().view(np.int64)))
+            prints[1].append(int(mix(both).sum().view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(p, pa.int64()) for p in prints], pa.array(bands, pa.list_(pa.int64()))], schema.names)
+
+    return with_shared(docs, counts, blocks, sign, schema)
+
+
+def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: Frequencies) -> float:
+    """Of two sorted multisets of shingles."""
+    (x, m), (y, n) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+    return similarity(x, m * idf.idf(x), y, n * idf.idf(y))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS_AT_ONCE):
-            sets = [np.repeat(s, n).tobytes() for s, n in document_shingles(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), batch.column(2)], schema.names)
 
-    return docs.select("doc_id", "text", "frequencies").mapInArrow(run, schema)
+def similarity(x: np.ndarray, of_x: np.ndarray, y: np.ndarray, of_y: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two sets of sorted distinct shingles with weights."""
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    both = float(np.minimum(of_x[i], of_y[j]).sum())
+    return both / (float(of_x.sum()) + float(of_y.sum()) - both)
 
 
-def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: Frequencies, of_b: Frequencies | None = None) -> float:
-    """Of two sorted multisets of shingles; ``of_b``: frequencies of the second, if not in ``idf`` too."""
-    (x, m), (y, n) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-    common, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    both = float((np.minimum(m[i], n[j]) * idf.idf(common)).sum())
-    return both / (float((m * idf.idf(x)).sum()) + float((n * (of_b or idf).idf(y)).sum()) - both)
+def tfidf(documents: int, frequencies: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles, their TF-IDF weights, and their IDF alone, of a row of :func:`with_frequencies`."""
+    own = Frequencies.unpacked(documents, frequencies)
+    idf = np.log1p(documents / own.held)
+    return own.shingles, from_planes(counts, np.uint32) * idf, idf
 
 
 def verified_links(pairs: DataFrame, sets: DataFrame, documents: int, threshold: float) -> DataFrame:
     """The pairs (a, b) whose weighted Jaccard similarity is at least ``threshold``."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"), F.col("frequencies").alias("idf_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"), F.col("frequencies").alias("idf_b"))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("frequencies").alias("of_a"), F.col("counts").alias("n_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("frequencies").alias("of_b"), F.col("counts").alias("n_b"))
     kind = pairs.schema["a"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            near = [
-                weighted_jaccard(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), Frequencies.unpacked(documents, f.as_py()), Frequencies.unpacked(documents, g.as_py()))
-                for x, y, f, g in zip(*batch.columns[2:], strict=True)
-            ]
+            near = [similarity(*tfidf(documents, x.as_py(), m.as_py())[:2], *tfidf(documents, y.as_py(), k.as_py())[:2]) for x, m, y, k in zip(*batch.columns[2:], strict=True)]
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.float64())], schema.names)
             yield out.filter(pa.array([s >= threshold for s in near], pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b", "idf_a", "idf_b").mapInArrow(run, schema)
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "n_a", "of_b", "n_b").mapInArrow(run, schema)
 
 
 def unchecked_pairs(sets: DataFrame, documents: int, threshold: float) -> DataFrame:
     """(a, b): every pair of a stray with a document of another component that can be similar enough, by prefix filtering.
 
-    ``sets`` has (doc_id, shingles, component, stray). Shingles stand in one order for all, rarest first. Documents
+    ``sets`` has (doc_id, frequencies, counts, component, stray). Shingles stand in one order for all, rarest first. Documents
     whose similarity is t share at least t / (1 + t) of their summed weight, so their first common shingle stands
     within the first 1 - t of either's weight, and neither has more weight before it than the other can do without.
     A common shingle of a large group thus matches only documents that have next to nothing before it. Each shingle
@@ -254,11 +219,10 @@ def unchecked_pairs(sets: DataFrame, documents: int, threshold: float) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
             kept, lefts, weights, earlier, held = [], [], [], [], []
-            for packed, frequencies in zip(batch.column(3), batch.column(4), strict=True):
-                shingles, counts = np.unique(np.frombuffer(packed.as_py(), np.uint64), return_counts=True)
-                own = Frequencies.unpacked(documents, frequencies.as_py()).idf(shingles)
-                order = np.lexsort((shingles, -own))
-                w = (own * counts)[order]
+            for frequencies, counts in zip(batch.column(3), batch.column(4), strict=True):
+                shingles, own, idf = tfidf(documents, frequencies.as_py(), counts.as_py())
+                order = np.lexsort((shingles, -idf))
+                w = own[order]
                 before = np.concatenate([[0.0], np.cumsum(w)[:-1]])
                 n = int((before <= (1 - threshold) * w.sum() + 1e-9).sum())
                 kept.append(shingles[order][:n].view(np.int64))
@@ -273,7 +237,7 @@ def unchecked_pairs(sets: DataFrame, documents: int, threshold: float) -> DataFr
             columns = [c.take(of) for c in batch.columns[:3]]
             yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.concatenate(c)) for c in (kept, lefts, weights)], before_it], schema.names)
 
-    prefixes = materialize(sets.select("doc_id", "component", "stray", "shingles", "frequencies").mapInArrow(run, schema), "prefixes")
+    prefixes = materialize(sets.select("doc_id", "component", "stray", "frequencies", "counts").mapInArrow(run, schema), "prefixes")
     x, y = prefixes.filter("stray").alias("x"), prefixes.alias("y")
     enough = (F.col("x.weight") + F.col("y.weight")) * (threshold / (1 + threshold)) - 1e-9
     meet = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
@@ -283,47 +247,52 @@ def unchecked_pairs(sets: DataFrame, documents: int, threshold: float) -> DataFr
 
 def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row a document: doc_id, class_id (smallest doc_id of its class), class_size, kept (doc_id = class_id)."""
+    spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    n, counts = document_frequencies(docs, size)
-    docs = materialize(with_frequencies(docs, n, counts, size), "frequencies")
+    n, blocks = corpus_size(docs)
+    counts = materialize(shared_shingles(docs, size, blocks), "frequencies")
+    signed = materialize(signatures(docs, n, counts, blocks, size), "signatures")
 
-    signed = materialize(signatures(docs, n, size), "signatures")
+    # aggregates are written before rows are joined to them, so that a join may split its largest groups
     prints = ["print_1", "print_2"]
-    firsts = signed.filter("bands IS NOT NULL").groupBy(*prints).agg(F.min("doc_id").alias("rep"))
-    member = materialize(
-        signed.select("doc_id", *prints).join(firsts, prints, "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep")).distinct(), "members"
-    )
-
+    firsts = materialize(signed.filter("bands IS NOT NULL").groupBy(*prints).agg(F.min("doc_id").alias("rep")), "firsts")
+    member = signed.select("doc_id", *prints).join(firsts, prints, "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep")).distinct()
+    member = materialize(member, "members")
     own = signed.join(firsts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rows = own.select("doc_id", F.posexplode("bands").alias("band", "code")).select("doc_id", F.xxhash64("band", "code").alias("bucket"))
-    buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    rows = materialize(rows.join(buckets, "bucket"), "buckets")
-    central = rows.groupBy("doc_id").agg(F.sum("held").alias("central"))
-    ranked = rows.join(central, "doc_id").select("bucket", "doc_id", F.struct("central", (-F.col("doc_id")).alias("low")).alias("rank"))
-    leaders = ranked.groupBy("bucket").agg(F.max("rank").alias("top")).select("bucket", (-F.col("top.low")).alias("leader"))
+    banded = materialize(own.select("doc_id", F.posexplode("bands").alias("band", "code")).select("doc_id", F.xxhash64("band", "code").alias("bucket")), "banded")
+    drop(spark, signed, firsts)
+    held = materialize(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "held")
+    central = materialize(banded.join(held, "bucket").groupBy("doc_id").agg(F.sum("held").alias("central")), "central")
+    rows = materialize(banded.join(held, "bucket").join(central, "doc_id").select("bucket", "doc_id", "central"), "buckets")
+    drop(spark, banded, held, central)
+    top = F.max(F.struct("central", (-F.col("doc_id")).alias("low"))).alias("top")
+    leaders = materialize(rows.groupBy("bucket").agg(top).select("bucket", (-F.col("top.low")).alias("leader")), "leaders")
     pairs = materialize(
         rows.join(leaders, "bucket").filter("doc_id <> leader").select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct(),
         "pairs",
     )
-    wanted = rows.select("doc_id").distinct()
-    sets = materialize(shingle_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), size), "shingle-sets")
+    sets = materialize(with_frequencies(docs, n, counts, size, blocks, only=rows.select("doc_id").distinct()), "shingle-sets")
+    drop(spark, counts, leaders)
     links = materialize(verified_links(pairs, sets, n, threshold), "links")
     labels = connected_components(links, "a", "b")
 
     # what a bucket holds outside its main component may still link to other components
-    placed = rows.join(labels, rows["doc_id"] == labels["node"], "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = materialize(rows.join(labels, rows["doc_id"] == labels["node"], "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")), "placed")
     parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("components"), F.max(F.struct("n", "component")).alias("top")).filter("components > 1")
+    main = materialize(main, "main-components")
     stray = F.max(F.col("component") != F.col("top.component")).alias("stray")
     mixed = materialize(placed.join(main, "bucket").groupBy("doc_id", "component").agg(stray), "mixed-documents")
-    rest = unchecked_pairs(sets.join(mixed, "doc_id"), n, threshold).join(pairs, ["a", "b"], "left_anti")
-    late = materialize(verified_links(materialize(rest, "late-pairs"), sets, n, threshold), "links")
+    rest = materialize(unchecked_pairs(sets.join(mixed, "doc_id"), n, threshold).join(pairs, ["a", "b"], "left_anti"), "late-pairs")
+    drop(spark, rows, placed, main, mixed, pairs)
+    late = materialize(verified_links(rest, sets, n, threshold), "links")
     if not late.isEmpty():
         labels = connected_components(links.union(late), "a", "b")
+    drop(spark, sets, rest, links, late)
 
     classed = member.join(labels, member["rep"] == labels["node"], "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
     classed = materialize(classed, "classes")
-    sizes = classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
+    sizes = materialize(classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "class-sizes")
     return classed.join(sizes, "class_id").select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
