@@ -111,6 +111,34 @@ def test_op3_against_brute_force(spark):
     assert lattice_dedup.lattice_links(df.limit(0)).count() == 0
 
 
+def test_op3_mixed_lengths_labels_of_any_type_and_repeated_ids(spark):
+    v = [float(k) for k in range(1, 9)]
+    near = [1.05, *v[1:]]
+    rows = [(1, v, "1.2", 0), (2, v, "1.7", 0), (3, near, "1.2", 0), (4, v[:7], "1.2", 0), (5, v, "x", 0), (5, v, "x", 1), (5, near, "x", 2), (None, v, "x", 0), (9, [-x for x in v], "x", 0)]
+    for kind in ("array<double>", "array<float>"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding {kind}, label string, cell int")
+        got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in lattice_dedup.lattice_links(df).collect())
+        assert got == [(0, 0, 0), (1, 1, 1), (2, 0, 2), (3, 1, 1), (4, 0, 4), (5, 2, 5), (5, 2, 5), (5, 2, 5), (9, 0, 9)]
+    numbers = spark.createDataFrame([(1, v, 1.2), (2, v, 1.7)], "vec_id long, embedding array<double>, label double")
+    assert {r.n_links for r in lattice_dedup.lattice_links(numbers).collect()} == {0}
+
+
+def test_op3_cells_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lattice_dedup, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    center = rng.normal(size=12)
+    rows = [(k, (center + rng.normal(size=12) * 0.25).tolist(), 7) for k in range(150)]
+    unit = np.array([v / np.linalg.norm(v) for _, v, _ in rows])
+    near = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in lattice_dedup.lattice_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {k: int(n) for k, n in enumerate(near)}
+
+
+def test_op3_plans_grow_slowly():
+    tables = [lattice_dedup.plan(10**k, 64)[0] for k in (3, 5, 7, 9)]
+    assert tables == sorted(tables) and tables[-1] <= 80
+
+
 def test_op4_odd_rows(spark):
     rows = [(1, 0, "user", "q", 9), (1, 1, "assistant", "long answer", 9), (2, 0, "user", "q", 9), (2, 1, "assistant", "no", 9), (3, 0, None, None, 9), (None, 0, "user", "q", 9)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, spoken int")

@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE = {
+    "op3_lattice_dedup": lattice_dedup.SQL,
     "op4_preference": preference.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op9_mixing": mixing.SQL,
