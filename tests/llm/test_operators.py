@@ -86,6 +86,56 @@ def test_op1_held_out_accuracy(spark, sf_dir):
     assert all(odd[k].lang_pred == "und" and odd[k].score == 0 and odd[k].rejected for k in (4, 5, 6, 7))
 
 
+def test_op1_learns_every_language_and_rejects_in_each(spark):
+    """Languages of three and of 40 documents; ids are such that the rare one's are all in the part that is set apart."""
+    ids = [r.id for r in spark.range(4000).filter(~language_id.held_out_id("id")).withColumn("p", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(5))).filter("p = 0").limit(3).collect()]
+    rng = np.random.default_rng(8)
+    word = lambda letters: "".join(rng.choice(list(letters), rng.integers(2, 7)))
+    text = lambda letters: " ".join(word(letters) for _ in range(60))
+    rows = [(i, text("qxzjkw"), "rare") for i in ids] + [(5000 + k, text("aeiount"), "en") for k in range(50)] + [(9000 + k, text("srldmp"), "fr") for k in range(50)]
+    rows += [rows[0], (None, text("aeiount"), "en"), (1, None, "en")]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(train)
+    assert model.langs == ["en", "fr", "rare"] and all(limit != (0.0, 1.0, 1.0) for limit in model.limits.values())
+    asked = spark.createDataFrame([(1, text("qxzjkw")), (2, text("aeiount")), (3, text("srldmp")), (4, text("вгдшщ")), (4, text("вгдшщ"))], "doc_id long, text string")
+    got = [(r.doc_id, r.lang_pred, r.rejected) for r in language_id.identify(asked, model).orderBy("doc_id").collect()]
+    assert got[:3] == [(1, "rare", False), (2, "en", False), (3, "fr", False)] and got[3] == got[4] and got[3][2]
+
+
+def test_op1_models_are_probability_distributions():
+    """What follows a context sums to one, and array look-ups agree with the recursion written out."""
+    text = language_id.letters_only("the cat sat on the mat and the rat ate the hat that sat there " * 3)
+    t, order = "   " + text, 4
+    counts = {}
+    for k in range(len(t) - order + 1):
+        counts[t[k : k + order]] = counts.get(t[k : k + order], 0) + 1
+    model = language_id.KneserNey(dict(counts), order)
+    alphabet = sorted({g[-1] for g in counts})
+    levels = {order: counts}
+    for n in range(order - 1, 0, -1):
+        levels[n] = {}
+        for g in levels[n + 1]:
+            levels[n][g[1:]] = levels[n].get(g[1:], 0) + 1
+
+    def p(c, context):
+        n = len(context) + 1
+        below = p(c, context[1:]) if n > 1 else 1 / (len(alphabet) + 1)
+        level = levels[n]
+        once, twice = (sum(v == k for v in level.values()) for k in (1, 2))
+        d = min(0.95, max(0.05, once / (once + 2 * twice) if once else 0.5))
+        seen = [v for g, v in level.items() if g[:-1] == context]
+        return max(level.get(context + c, 0) - d, 0) / sum(seen) + d * len(seen) / sum(seen) * below if seen else below
+
+    for context in sorted({g[:-1] for g in counts})[:25]:
+        texts = [context + c for c in [*alphabet, "\u0416"]]  # the last stands for all unseen ones
+        points = [np.frombuffer(x.encode("utf-32-le"), "<u4").astype(np.uint64) for x in texts]
+        hashes = [np.array([language_id.gram_hashes(q, n)[-1] for q in points]) for n in range(1, order + 1)]
+        before = [np.array([language_id.gram_hashes(q, max(n, 1))[-2] for q in points]) for n in range(order)]
+        found = np.exp(model.log_probabilities(hashes, before).astype(float))
+        assert np.allclose(found, [p(c, context) for c in [*alphabet, "\u0416"]], rtol=1e-4)
+        assert abs(found.sum() - 1) < 1e-4
+
+
 def test_op3_against_brute_force(spark):
     rng = np.random.default_rng(3)
     rows, k = [], 0

@@ -1,13 +1,16 @@
 """Exact dedup by a tree-merge of sorted digest runs (DataFrame functions only).
 
-Every document gets a digest of its normalised text and belongs to one of
-``runs`` runs. Level 0 reduces each run to one entry a digest. Then, round by
-round, ``fan_in`` neighbouring runs are merged into one by sort or hash
-aggregation on (run, digest) until a single run is left, whose entries hold the
-winner and the size of each group. The winners travel the same tree downwards,
-so each join key is (run, digest): a text that a third of all rows share is
-spread over all runs and is never one task's work. Text is read once and never
-shuffled; only digests are.
+Every document gets a digest of its normalised text. Each input partition is a
+*run*: its entries, one a digest, sorted by digest (level 0). Then, round by
+round, ``fan_in`` neighbouring runs meet (three rounds of a binomial tree at
+once) and are merged: their entries are sorted by run and digest, and equal ones
+keep the largest identifier and the summed count, until a single run is left.
+Entries are equal only if SHA-256, length and an independent second hash of the
+text agree, at every level. The winners travel the same tree downwards, so each
+join key is (run, digest): a text that a third of all rows share has one entry a
+run and is never one task's work. Runs are dealt over tasks by digest, so that
+the last one is not a single task either. Text is read once and never shuffled;
+only digests are.
 
 Defined results: null text counts as empty; all empty texts are one group. A
 null doc_id never wins over a real one; a group of only null ids keeps null,
@@ -26,10 +29,9 @@ from pyspark.sql import functions as F
 
 from toolgraph.scratch import materialize
 
-RUNS = 64
 FAN_IN = 8
-#: identifiers are equal only when digest and byte length are
-KEY = ["digest", "n_bytes"]
+#: texts are equal when all of these are
+KEY = ["digest", "n_bytes", "proof"]
 
 
 def normalised(text: Column) -> Column:
@@ -37,22 +39,22 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
-def digest_runs(docs: DataFrame, runs: int = RUNS) -> DataFrame:
+def digest_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, run, digest, n_bytes, proof): the digests of each input partition."""
     text = normalised(F.col("text"))
     return docs.select(
-        F.col("doc_id"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(runs)).cast("int").alias("run"),
-        F.unhex(F.sha2(text, 256)).alias("digest"),
-        F.octet_length(text).alias("n_bytes"),
-    )
+        F.col("doc_id"), F.spark_partition_id().alias("run"), F.unhex(F.sha2(text, 256)).alias("digest"), F.octet_length(text).alias("n_bytes"), F.xxhash64(text).alias("proof")
+    )
 
 
 def merge_round(level: DataFrame, fan_in: int) -> DataFrame:
-    """One round: ``fan_in`` neighbouring runs become one; equal digests keep the winning id and the summed count."""
+    """One round: ``fan_in`` neighbouring sorted runs become one; equal digests keep the winning id and the summed count."""
+    winner = F.max(F.struct(F.col("keep_id").isNotNull().alias("known"), "keep_id")).alias("winner")  # a struct's maximum is merged from sorted rows
     return (
         level.select((F.col("run") / fan_in).cast("int").alias("run"), *KEY, "keep_id", "group_size")
         .groupBy("run", *KEY)
-        .agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+        .agg(winner, F.sum("group_size").alias("group_size"))
+        .select("run", *KEY, F.col("winner.keep_id").alias("keep_id"), "group_size")
     )
 
 
@@ -66,13 +68,11 @@ def hand_down(level: DataFrame, parents: DataFrame, fan_in: int) -> DataFrame:
     )
 
 
-def digest_groups(docs: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
+def digest_groups(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """One row a document: doc_id, keep_id (largest doc_id of equal texts), group_size, kept, text_sha256."""
-    digests = materialize(digest_runs(docs, runs), "digests")
-    levels = [
-        digests.groupBy("run", *KEY).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    ]
-    width = runs
+    digests = materialize(digest_runs(docs), "digests")
+    levels = [merge_round(digests.select("run", *KEY, F.col("doc_id").alias("keep_id"), F.lit(1).alias("group_size")), 1)]
+    width = (digests.agg(F.max("run")).first()[0] or 0) + 1
     while width > 1:
         levels.append(merge_round(levels[-1], fan_in))
         width = -(-width // fan_in)
@@ -88,9 +88,9 @@ def digest_groups(docs: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> Da
     )
 
 
-def drop_exact_copies(docs: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """One document of each group, with all its columns: of the winning id's rows any one, if several hold the text."""
-    kept = digest_groups(docs, runs, fan_in).filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).count()
+    kept = digest_groups(docs, fan_in).filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).count()
     kept = materialize(kept, "kept")
     keyed = docs.withColumn("__own_sha", F.sha2(normalised(docs["text"]), 256))
 

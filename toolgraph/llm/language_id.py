@@ -2,12 +2,13 @@
 
 Training: a bounded sample of documents a language (``SAMPLE_DOCS`` by hash of
 doc_id; whole texts) is cut into character n-grams, which Spark counts by
-language and n-gram. From the counts the driver builds, for each language, a
-model of order ``ORDER``: continuation counts below the top order, one absolute
-discount an order (from the numbers of n-grams seen once and twice), lower
-orders interpolated, a uniform floor over the alphabet. A model is stored as
-sorted arrays of 64-bit n-gram hashes with fully interpolated log
-probabilities and the log back-off weight of each context.
+language and n-gram. From the counts one task a language builds a model of order
+``ORDER``: continuation counts below the top order, one absolute discount an
+order (from the numbers of n-grams seen once and twice), lower orders
+interpolated, a uniform floor over the alphabet. A model is stored as sorted
+arrays of 64-bit n-gram hashes with fully interpolated log probabilities and the
+log back-off weight of each context; these arrays are all that reaches the
+driver of it.
 
 Prediction: text is lower-cased and everything but letters becomes one space.
 The n-grams of a batch are looked up once each by binary search in each
@@ -20,10 +21,10 @@ rejected: it is written in none of the languages. Lang, source and doc_id of
 the documents that are predicted are never used.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
-and is rejected. Rows without lang do not train; languages of fewer than
-``MIN_DOCS`` sampled documents still train if they are all there is, calibrated
-on what they trained on. With no training documents at all, everything is
-``und``. Repeated rows get equal predictions. Other columns are ignored.
+and is rejected. Rows without lang do not train. Every language with a letter in
+its training documents is learned; one of fewer than ``MIN_DOCS`` sampled
+documents, or with none or nothing else set apart, is calibrated on what it
+trained on. With no training documents at all, everything is ``und``. Repeated rows get equal predictions. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -108,6 +109,16 @@ class KneserNey:
             self.backoffs.append(self._sorted(weight, n - 1))
             below = here
 
+    def arrays(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [*self.tables, *self.backoffs]
+
+    @classmethod
+    def of_arrays(cls, arrays: list[tuple[np.ndarray, np.ndarray]], floor: float) -> KneserNey:
+        model = cls.__new__(cls)
+        model.order, model.floor = len(arrays) // 2, floor
+        model.tables, model.backoffs = arrays[: model.order], arrays[model.order :]
+        return model
+
     @staticmethod
     def _sorted(values: dict[str, float], n: int) -> tuple[np.ndarray, np.ndarray]:
         keys = list(values)
@@ -172,8 +183,8 @@ class Identifier:
             out[full, k] = -(logs[bounds[1:]] - logs[bounds[:-1]])[full] / lengths[full]
         return out, lengths
 
-    def calibrate(self, texts: list[str], langs: list[str]) -> None:
-        h, lengths = self.entropies(texts)
+    def calibrate(self, h: np.ndarray, lengths: np.ndarray, langs: list[str]) -> None:
+        """From the cross-entropies and lengths of texts and the languages they are in."""
         usable = lengths > 0
         truth = np.array([self.langs.index(lang) for lang in langs])[usable]
         h, lengths = h[usable], lengths[usable]
@@ -213,9 +224,13 @@ class Identifier:
         return out
 
 
+def held_out_id(name: str) -> Column:
+    return F.coalesce(F.crc32(F.col(name).cast("string")) % 5 == 0, F.lit(False))
+
+
 def held_out() -> Column:
     """Every fifth document by a checksum of its id; a null id is not held out but does not train either."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return held_out_id("doc_id")
 
 
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
@@ -228,8 +243,12 @@ def training_sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, order: int = ORDER) -> Identifier:
-    """An identifier of the languages in ``docs`` (doc_id, text, lang). What reaches the driver is bounded by the sample."""
-    sample = materialize(training_sample(docs, per_lang), "language-sample")
+    """An identifier of the languages in ``docs`` (doc_id, text, lang). The driver gets the models' arrays, and a row of cross-entropies for each calibration document."""
+    drawn = training_sample(docs, per_lang)
+    own = drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.count_if(F.col("part") == 0).alias("apart"))
+    whole = (F.col("docs") < MIN_DOCS) | (F.col("apart") == 0) | (F.col("apart") == F.col("docs"))
+    parts = drawn.join(own.select("lang", whole.alias("whole")), "lang").select("lang", "text", (F.col("whole") | (F.col("part") > 0)).alias("trains"), (F.col("whole") | (F.col("part") == 0)).alias("calibrates"))
+    sample = materialize(parts, "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, str], int] = {}
@@ -241,22 +260,33 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, order: int = ORDER) -> I
                     found[key] = found.get(key, 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "gram", "n"])
 
-    def models(rows: DataFrame) -> dict[str, KneserNey]:
-        counted = rows.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        grams: dict[str, dict[str, int]] = {}
-        for lang, gram, n in zip(*counted.toArrow().to_pydict().values(), strict=True):
-            grams.setdefault(lang, {})[gram] = n
-        return {lang: KneserNey(g, order) for lang, g in sorted(grams.items())}
-
-    identifier = Identifier(models(sample.filter("part <> 0")))
-    apart = sample.filter(F.col("part") == 0).select("lang", "text").toPandas()
-    apart = apart[apart["lang"].isin(identifier.langs)]
-    if len(apart) < MIN_DOCS:  # too few to set some apart
-        identifier = Identifier(models(sample))
-        apart = sample.select("lang", "text").toPandas()
-        apart = apart[apart["lang"].isin(identifier.langs)]
-    if identifier.langs:
-        identifier.calibrate([letters_only(t) for t in apart["text"]], apart["lang"].tolist())
+    def build(counted: pa.Table) -> pa.Table:
+        model = KneserNey(dict(zip(counted["gram"].to_pylist(), counted["n"].to_pylist(), strict=True)), order)
+        arrays = model.arrays()
+        return pa.table({
+            "lang": pa.array([counted["lang"][0].as_py()] * len(arrays)), "at": pa.array(range(len(arrays)), pa.int32()), "floor": pa.array([model.floor] * len(arrays), pa.float64()),
+            "hashes": pa.array([h.tobytes() for h, _ in arrays], pa.binary()), "logs": pa.array([v.tobytes() for _, v in arrays], pa.binary()),
+        })
+
+    counted = sample.filter("trains").select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    arrays: dict[str, list] = {}
+    floors: dict[str, float] = {}
+    for r in counted.groupBy("lang").applyInArrow(build, "lang string, at int, floor double, hashes binary, logs binary").collect():
+        arrays.setdefault(r.lang, []).append((r.at, np.frombuffer(r.hashes, np.uint64), np.frombuffer(r.logs, np.float32)))
+        floors[r.lang] = r.floor
+    identifier = Identifier({lang: KneserNey.of_arrays([(h, v) for _, h, v in sorted(own, key=lambda x: x[0])], floors[lang]) for lang, own in arrays.items()})
+    if not identifier.langs:
+        return identifier
+    shared = sample.sparkSession.sparkContext.broadcast(identifier)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            h, lengths = shared.value.entropies([letters_only(t) for t in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(h), pa.list_(pa.float64())), pa.array(lengths, pa.int64())], ["lang", "h", "length"])
+
+    apart = sample.filter("calibrates").select("lang", "text").mapInArrow(measure, "lang string, h array<double>, length long").filter(F.col("lang").isin(identifier.langs)).collect()
+    identifier.calibrate(np.array([r.h for r in apart]).reshape(len(apart), -1), np.array([r.length for r in apart], np.int64), [r.lang for r in apart])
+    shared.unpersist()
     return identifier
 
 
