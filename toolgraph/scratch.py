@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 _own: dict[str, str] = {}
 #: frees a query's shuffle files when the query ends
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,19 +31,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, batch_rows: int = 1000) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: cuts lineage and survives lost executors.
 
-    The shuffle files of the query that wrote it go with it, since nothing reads them any more.
+    The shuffle files of the query that wrote it go with it, since nothing reads them any more. ``batch_rows``:
+    rows of an Arrow batch meanwhile; whole texts and vectors make long batches large in both the JVM and Python.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    before = spark.conf.get(FREE_SHUFFLES, "false")
-    spark.conf.set(FREE_SHUFFLES, "true")
+    settings = {FREE_SHUFFLES: "true", BATCH_ROWS: str(batch_rows)}
+    before = {k: spark.conf.get(k) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(FREE_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
