@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+from xml.etree import ElementTree
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from toolgraph.config import Settings
 from toolgraph.functions import policy, text
 from toolgraph.functions.hashing import edge_signature, intent_id, skeleton_id
-from toolgraph.operators import chat, graph, intents, providers, sampling, scores, similarity, simulation
+from toolgraph.operators import build, chat, graph, intents, providers, sampling, scores, similarity, simulation
 from toolgraph.operators.components import connected_components
 from toolgraph.sources import catalog, sinks
 from toolgraph.streaming.catalog_stream import stream_catalog
@@ -27,7 +28,7 @@ def test_title(spark, given_, wanted):
     assert one(spark, text.title("t"), t=given_) == wanted
 
 
-@pytest.mark.parametrize("given_, wanted", [("37.62%", 37.62), ("12.5", 12.5), ("N/A", 0.0), ("", 0.0), (None, 0.0)])
+@pytest.mark.parametrize("given_, wanted", [("37.62%", 37.62), ("12.5", 12.5), ("N/A", 0.0), ("", 0.0), (None, 0.0), ("3%7", 0.0), ("%5", 0.0), ("1d", 0.0), (" -2.5e1% ", -25.0)])
 def test_percent(spark, given_, wanted):
     assert one(spark, text.percent("t"), t=given_) == wanted
 
@@ -150,9 +151,9 @@ def test_provider_and_intent_rules(spark):
     tools = spark.createDataFrame([("A", "does a", "general"), ("B", "", "Web")], "name string, description string, category string").withColumn("parameters", F.lit("{}"))
     named = providers.categorised(tools, "description", lambda texts: ['{"category": " e-mail "}' for _ in texts])
     assert {r.name: r.category for r in named.collect()} == {"A": "E-Mail", "B": "Web"}
-    walk = spark.createDataFrame([("w", ["A", "B"])], "walk string, path array<string>")
+    walk = spark.createDataFrame([("w", ["A", "B"], ["A->B:p"])], "walk string, path array<string>, keys array<string>")
     nodes = tools.select("name", "description", "category")
-    made = sampling.format_skeletons(walk, nodes).withColumn("edges", F.transform("edges", lambda e: F.struct(e["step"].alias("step"), e["from"].alias("from"), e["to"].alias("to"), F.struct(F.lit("p").alias("parameter"), e["dependency"]["relation"].alias("relation")).alias("dependency"))))
+    made = sampling.format_skeletons(walk, nodes, edges=spark.createDataFrame([("A->B:p", "p")], "key string, parameter string"))
     prompt = intents.prompts(made, tools, "{tools}|{flow}").first().prompt
     assert prompt.startswith('{"name":"A"') and prompt.endswith("|Step 1: A -> B\n   (Passes output to parameter: 'p')")
     reply = lambda state: lambda texts: [json.dumps({"query": "q", "initial_state": state, "final_state": {}}) for _ in texts] if not isinstance(state.get("a"), list) else ["{" for _ in texts]
@@ -164,6 +165,122 @@ def test_provider_and_intent_rules(spark):
     assert [state('{"a":1}'), state('{"a":[1]}'), state('{"a":null}'), state("{}")] == [True, False, False, True]
 
 
+def test_sampled_skeletons(spark):
+    n = 12
+    edges = spark.createDataFrame([(f"t{k}", f"t{(k + d) % n}", f"t{k}->t{(k + d) % n}:p{d}", f"p{d}", 0.9) for k in range(n) for d in (1, 2)], "src string, dst string, key string, parameter string, weight double")
+    nodes = spark.createDataFrame([(f"t{k}", f"tool {k}", None) for k in range(n)], "name string, description string, category string")
+    tools = nodes.withColumn("parameters", F.lit("{}"))
+    for mode, pattern in (("chain", "sequential"), ("neighborhood", "neighborhood_subgraph")):
+        made, cover = sampling.sample_skeletons(nodes, edges, mode, 6, 3, 4, batch=4, seed=5)
+        rows = made.collect()
+        assert len(rows) == 6 and {r.pattern for r in rows} == {pattern}
+        for r in rows:
+            core = [x.name for x in r.nodes if x.role == "core"]
+            assert [(e.step, e.dependency.parameter) for e in r.edges] == [(k + 1, f"p{(int(e.to[1:]) - int(e['from'][1:])) % n}") for k, e in enumerate(r.edges)]
+            path = [r.edges[0]["from"], *[e.to for e in r.edges]]
+            assert sorted(core) == sorted(path) and (r.meta is None) == (mode == "chain")
+            if mode == "neighborhood":
+                assert r.meta.core_chain_nodes == path and len(r.meta.distractor_nodes) == int(len(core) * 0.5) + 1
+        if mode == "neighborhood":  # the place of a node does not tell its role
+            assert any([x.role for x in r.nodes] != sorted(x.role for x in r.nodes) for r in rows)
+        prompt = intents.prompts(made, tools, "{tools}|{flow}").first().prompt
+        assert "Passes output to parameter: 'p" in prompt and prompt.startswith('{"name":"t')
+        assert cover.node_visits.agg(F.sum("visits")).first()[0] >= 6
+    assert sampling.sample_skeletons(nodes, edges, "unheard", 6)[0].count() == 0
+
+
+def test_walk_plan_grows_by_one_join_a_step(spark):
+    edges = spark.createDataFrame([("a", "b", "k", 1.0)], "src string, dst string, key string, decayed double")
+    begin = spark.createDataFrame([("w", "a")], "walk string, at string")
+    joins = [sampling.walk(begin, edges, 2, n)._jdf.queryExecution().analyzed().toString().count("Join ") for n in (3, 5, 8)]
+    assert joins == [2, 4, 7]
+
+
+def test_graph_build(spark, tmp_path):
+    lines = [
+        {"name": "geo", "description": "place", "parameters": {"type": "object", "properties": {"ip": {"type": "string", "description": "address"}}}},
+        {"name": "ip", "description": "address", "parameters": {"type": "object", "properties": {}}},
+        {"name": "far", "description": "nothing", "parameters": {"type": "object", "properties": {"x": {"type": "string"}}}},
+    ]
+    tools, _ = catalog.catalog(spark.createDataFrame([(k, json.dumps(x)) for k, x in enumerate(lines)], "ord long, line string"))
+    vector = {"geo: place": [1.0, 0.0, 0.0], "ip: address": [0.0, 1.0, 0.0], "far: nothing": [0.0, 0.0, 1.0], "Parameter ip: address": [0.0, 1.0, 1.0], "Parameter x: ": [-1.0, 0.0, 0.0]}
+    embed = lambda texts: [vector[t] for t in texts]
+
+    def model(texts):
+        def one(t):
+            if t.startswith("- Producer"):
+                return json.dumps({"valid": "Producer Tool: ip\n  - Description: address" in t and "Fill: 'ip'\n  - Parameter Description: address" in t})
+            if t.startswith("["):
+                return json.dumps({"Net Tools": "Network"})
+            assert "Finance" in t and "- Name: " in t
+            return '{"category": " net tools "}' if "Name: ip" in t or "Name: geo" in t else "no"
+
+        return [one(t) for t in texts]
+
+    nodes, edges = build.build_graph(tools, embed, model, auto=0.9, category_rounds=2)
+    assert {(r.name, r.category) for r in nodes.collect()} == {("geo", "Network"), ("ip", "Network")}
+    assert [(r.src, r.dst, r.key, r.parameter, round(r.weight, 3)) for r in edges.collect()] == [("ip", "geo", "ip->geo:ip", "ip", 0.707)]
+    nodes, edges = build.build_graph(tools, embed, auto=0.9)  # nobody verifies: dropped
+    assert edges.count() == 0 and nodes.count() == 0
+    nodes, edges = build.build_graph(tools, embed, auto=0.9, verify=False)
+    assert {r.key for r in edges.collect()} == {"ip->geo:ip", "far->geo:ip"}
+
+    def broken(texts):
+        raise RuntimeError
+
+    nodes, edges = build.build_graph(tools, broken)  # no vectors: all nodes stay
+    assert edges.count() == 0 and nodes.count() == 3
+    nodes, edges = build.build_graph(tools.limit(0), embed)
+    assert edges.count() == 0 and nodes.count() == 0
+    sinks.write_document(sinks.node_link_lines(tools.select("name", "description"), spark.createDataFrame([("a", "b", "k1"), ("a", "b", "k2")], "src string, dst string, key string")), str(tmp_path / "g"))
+    text = "".join(f.read_text() for f in sorted((tmp_path / "g").glob("part-*")))
+    doc = json.loads(text)
+    assert [n["id"] for n in doc["nodes"]] == ["far", "geo", "ip"] and [e["key"] for e in doc["links"]] == ["k1", "k2"] and doc["multigraph"]
+    sinks.write_document(sinks.graphml_document(tools.select("name", "description"), spark.createDataFrame([("geo", "ip", "k<1")], "src string, dst string, key string")), str(tmp_path / "x"))
+    root = ElementTree.fromstring("".join(f.read_text() for f in sorted((tmp_path / "x").glob("part-*"))))
+    assert [len(root.findall(f".//{{*}}{kind}")) for kind in ("node", "edge", "key")] == [3, 1, 2]
+
+
+def test_limits_replay_and_maps(spark):
+    rows = spark.createDataFrame([(k, k % 2 == 0) for k in range(200)], "id int, multi_turn boolean")
+    assert [r.id for r in scores.limited(rows, 3, "id").collect()] == [0, 1, 2] and scores.limited(rows, None, "id") is rows and scores.limited(rows, 0, "id") is rows
+    drawn = {r.id for r in scores.subsample(rows, "id", 0.3).collect()}
+    assert 30 <= len(drawn) <= 90 and drawn == {r.id for r in scores.subsample(rows.repartition(7), "id", 0.3).collect()}
+    assert scores.multi_turn_only(rows).count() == 100 and scores.multi_turn_only(rows.select("id")).count() == 200
+    q = spark.createDataFrame([("i", ["a", "b", "c"]), ("none", ["a"])], "id string, question array<string>")
+    a = spark.createDataFrame([("i", [["x"], ["y", "z"]])], "id string, truth array<array<string>>")
+    decoded = chat.replayed(q, a)
+    assert [(r.id, r.decoded) for r in decoded.collect()] == [("i", [[["x"]], [["y", "z"]], [[]]])]
+    assert [r.valid for r in chat.checked(decoded, a).collect()] == [True]
+    assert [r.valid for r in chat.checked(decoded, a.withColumn("truth", F.reverse("truth"))).collect()] == [False]
+    skeletons = spark.createDataFrame([([("a", "b")], None), ([("a", "b")], "own"), ([("c", "b")], "own"), (None, "bad")], "edges array<struct<from:string,to:string>>, id string").coalesce(1)
+    held = {r.skeleton_id: r.edges[0][0] for r in catalog.skeleton_map(skeletons).collect()}
+    assert held.pop("own") == "c" and list(held.values()) == ["a"] and next(iter(held)).startswith("skel_")
+    packed = spark.createDataFrame([(0, '{"tools": "[{\\"name\\": \\"A\\"}]"}'), (1, '{"name": "B", "description": "1"}')], "ord long, line string")
+    assert [r.name for r in catalog.tool_map(packed).collect()] == ["B"]
+
+
+def test_simulation_goes_on_when_a_model_fails():
+    def fails(*_):
+        raise RuntimeError
+
+    once = iter([("", [("1", "f", "{}")]), ("done", [])])
+    turns = simulation.converse("q", ["f"], lambda q, m: "TERMINATE", lambda t, m: next(once), fails, 5, 10)
+    assert [b["output"] for m in turns for b in m["blocks"] if b["type"] == "tool_result"] == ['{"status": "error", "message": "Simulation internal error"}']
+    assert [m["blocks"][0]["text"] for m in simulation.converse("q", [], fails, lambda t, m: ("ok", []), fails, 5, 10)] == ["q", "ok", "TERMINATE_FAILED"]
+    assert [m["blocks"][0]["text"] for m in simulation.converse("q", [], lambda q, m: "TERMINATE", fails, fails, 5, 10)] == ["q", "TERMINATE"]
+
+
+def test_score_tables_of_any_width(spark, tmp_path):
+    (tmp_path / "a" / "score").mkdir(parents=True)
+    (tmp_path / "a" / "score" / "s.csv").write_text(",".join(f"h{k}" for k in range(70)) + "\n" + ",".join(str(k) for k in range(70)) + "\n")
+    (tmp_path / "a" / "score" / "t.csv").write_text('Rank,,Overall Acc\n1,"two\nlines",50%\n')
+    assert scores.score_tables(spark, str(tmp_path), "s.csv").first()["h69"] == "69"
+    (row,) = scores.score_tables(spark, str(tmp_path), "t.csv").collect()
+    assert row["Overall Acc"] == "50%" and row[3] == "two\nlines"
+    assert scores.category("Format")[0] == "data_format_sensitivity.csv"
+
+
 def test_simulation_rules():
     turns = simulation.converse("q", [], lambda q, m: "more", lambda t, m: ("ok", []), lambda n, a, m: "", 2, 10)
     assert [m["blocks"][0]["text"] for m in turns] == ["q", "ok", "more", "ok", "TERMINATE_FAILED"]

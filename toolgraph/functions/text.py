@@ -11,6 +11,8 @@ from toolgraph.functions.columns import as_column
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "function_call": "tool_call", "observation": "tool_response"}
 #: fixed values: replies with which a simulated user ends a conversation
 STOP, STOP_FAILED = "TERMINATE", "TERMINATE_FAILED"
+#: fixed value: what a tool simulator answers when its model fails
+SIMULATION_FAILED = '{"status": "error", "message": "Simulation internal error"}'
 #: fixed value: the empty reasoning block put in front of an answer
 EMPTY_THINK = "<think>\n\n</think>\n\n"
 
@@ -27,7 +29,9 @@ def title(text: Column | str) -> Column:
 
 def percent(text: Column | str) -> Column:
     """``37.62%`` and plain numbers as a double; 0 for what is neither."""
-    return F.coalesce(strip(F.replace(as_column(text), F.lit("%"), F.lit(""))).try_cast("double"), F.lit(0.0))
+    number = strip(F.regexp_replace(strip(text), r"%+$", ""))
+    plain = number.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    return F.coalesce(F.when(plain, number.try_cast("double")), F.lit(0.0))
 
 
 def chat_role(tag: Column | str) -> Column:

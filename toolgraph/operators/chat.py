@@ -85,6 +85,24 @@ def aligned_turns(questions: DataFrame, answers: DataFrame) -> DataFrame:
     )
 
 
+def replayed(questions: DataFrame, answers: DataFrame) -> DataFrame:
+    """(id, decoded): what a perfect model answers, turn by turn: each turn one step, which is the turn's truth. An id without answers has none."""
+    turns = aligned_turns(questions, answers).filter("found")
+    listed = turns.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", F.array("truth").alias("steps")))).alias("turns"))
+    return listed.select("id", F.transform("turns", lambda t: t["steps"]).alias("decoded"))
+
+
+def checked(decoded: DataFrame, answers: DataFrame) -> DataFrame:
+    """(id, valid): whether an id's steps, turn by turn, are its answers; turns beyond the answers must be empty."""
+    both = decoded.join(answers, "id")
+    flat = F.transform("decoded", lambda steps: F.flatten(steps))
+    n = F.greatest(F.size("decoded"), F.size("truth"))
+    empty = F.array().cast("array<string>")
+    at = lambda c, k: F.coalesce(F.get(c, k), empty)
+    same = F.forall(F.sequence(F.lit(0), n), lambda k: at(F.col("flat"), k) == at(F.col("truth"), k))
+    return both.withColumn("flat", flat).select("id", same.alias("valid"))
+
+
 def content_length(turns_json: Column) -> Column:
     """Summed length of the contents in a JSON text of turns (of the first conversation, if nested); 0 on any error."""
     flat = F.from_json(turns_json, "array<struct<role:string,content:string>>")

@@ -86,6 +86,20 @@ def verified(candidates: DataFrame, prompt: str, model: ChatModel) -> DataFrame:
     return direct.unionByName(asked.filter(verdict("reply")).drop("reply"))
 
 
+def verification_prompts(candidates: DataFrame, tools: DataFrame) -> DataFrame:
+    """Adds ``prompt``: producer, consumer and parameter of a candidate with their descriptions. ``tools``: (name, description, parameters as a struct or JSON text)."""
+    parameters = F.col("parameters") if tools.schema["parameters"].dataType.typeName() == "string" else F.to_json("parameters")
+    known = tools.select("name", "description", F.from_json(parameters, "struct<properties:map<string,string>>")["properties"].alias("properties"))
+    producers = known.select(F.col("name").alias("producer"), F.col("description").alias("__p"))
+    consumers = known.select(F.col("name").alias("consumer"), F.col("properties").alias("__properties"))
+    about = F.coalesce(F.get_json_object(F.try_element_at("__properties", F.col("param").cast("string")), "$.description"), F.lit(""))
+    text = F.concat(
+        F.lit("- Producer Tool: "), F.col("producer").cast("string"), F.lit("\n  - Description: "), F.coalesce("__p", F.lit("")), F.lit("\n- Consumer Tool: "), F.col("consumer").cast("string"),
+        F.lit("\n- Consumer Parameter to Fill: '"), F.col("param").cast("string"), F.lit("'\n  - Parameter Description: "), about,
+    )
+    return candidates.join(producers, "producer", "left").join(consumers, "consumer", "left").select(*candidates.columns, text.alias("prompt"))
+
+
 def categorised(tools: DataFrame, prompt: str, model: ChatModel) -> DataFrame:
     """Tools whose category is still general get the model's, stripped and title-cased; general again if it gave none."""
     asked = replies(tools.filter(F.col("category") == GENERAL), prompt, model)
@@ -94,6 +108,34 @@ def categorised(tools: DataFrame, prompt: str, model: ChatModel) -> DataFrame:
     return tools.filter(F.coalesce(F.col("category") != GENERAL, F.lit(True))).unionByName(named)
 
 
+def categorised_in_rounds(tools: DataFrame, model: ChatModel, rounds: int = 8) -> DataFrame:
+    """:func:`categorised`, a share of the tools a round: each prompt names the categories in use so far, so that later rounds take up what earlier ones added.
+
+    Tools that a round's model call left general are not asked again. The list of categories in a prompt is the pool.
+    """
+    columns = tools.columns
+    shown = F.concat(F.lit("\n- Name: "), "name", F.lit("\n- Desc: "), F.coalesce("description", F.lit("")), F.lit("\n- Parm: "), F.coalesce(F.col("parameters") if tools.schema["parameters"].dataType.typeName() == "string" else F.to_json("parameters"), F.lit("")))
+    left = tools.withColumn("__round", F.when(F.col("category") == GENERAL, F.pmod(F.xxhash64("name"), F.lit(rounds))).otherwise(-1))
+    done = left.filter("__round = -1 OR category IS NULL").select(*columns)
+    for k in range(rounds):
+        own = left.filter(F.col("__round") == k)
+        pool = category_pool(done).filter(F.col("category") != GENERAL).agg(F.array_join(F.array_sort(F.collect_set("category")), ", ").alias("__pool"))  # one row
+        asked = own.crossJoin(pool).withColumn("prompt", F.concat(F.lit("Categories: "), "__pool", shown))
+        done = materialize(done.unionByName(categorised(asked, "prompt", model).select(*columns)), "categorised")
+    return done
+
+
+def refined(tools: DataFrame, model: ChatModel) -> DataFrame:
+    """:func:`consolidated` by one call of the model, which sees all categories in use and returns a JSON object from old to new ones.
+
+    Without a category, a reply, or an object in it, the tools stay as they are.
+    """
+    used = tools.select("category").filter("category <> ''").distinct().agg(F.to_json(F.array_sort(F.collect_set("category"))).alias("prompt"))
+    asked = replies(used.filter("prompt <> '[]'"), "prompt", model)
+    mapping = asked.select(F.explode(F.from_json(first_json("reply"), "map<string,string>")).alias("raw", "master")).filter("master IS NOT NULL")
+    return consolidated(tools, mapping)
+
+
 def category_pool(tools: DataFrame) -> DataFrame:
     """(category): the fixed pool and every category in use, without null and empty ones."""
     fixed = tools.sparkSession.createDataFrame([(c,) for c in CATEGORY_POOL], "category string")

@@ -30,15 +30,20 @@ def weighted_edges(edges: DataFrame, visits: DataFrame) -> DataFrame:
     return edges.join(visits, "key", "left").withColumn("decayed", decayed(F.col("weight"), F.col("visits"))).drop("visits")
 
 
+def race(seed: int, step: int) -> Column:
+    """Order in which a walk's edges arrive: the first is drawn in proportion to its weight; edges of weight zero only among themselves. Null where there is no edge."""
+    u = uniform(seed, "walk", step, "key")
+    time = -F.ln(u) / F.when(F.col("decayed") > 0, F.col("decayed")).otherwise(1.0)
+    return F.when(F.col("key").isNotNull(), F.struct((F.col("decayed") <= 0).alias("zero"), time.alias("time"), F.col("key")))
+
+
 def next_hops(walks: DataFrame, edges: DataFrame, step: int, seed: int = 0) -> DataFrame:
     """(walk, key, dst): of each walk at ``at``, one outgoing edge drawn by weight, as an exponential race.
 
     If all weights are zero, all edges are alike. A walk at a dead end has no row.
     """
-    u = uniform(seed, "walk", step, "key")
-    race = F.struct((F.col("decayed") <= 0).alias("zero"), (-F.ln(u) / F.when(F.col("decayed") > 0, F.col("decayed")).otherwise(1.0)).alias("time"), F.col("key"))
     met = walks.select("walk", "at").join(edges.select("src", "dst", "key", "decayed"), F.col("at") == F.col("src"))
-    return met.groupBy("walk").agg(F.min_by(F.struct("key", "dst"), race).alias("hop")).select("walk", "hop.key", "hop.dst")
+    return met.groupBy("walk").agg(F.min_by(F.struct("key", "dst"), race(seed, step)).alias("hop")).select("walk", "hop.key", "hop.dst")
 
 
 def starts(edges: DataFrame, node_visits: DataFrame, batch: int, round_: int = 0, seed: int = 0) -> DataFrame:
@@ -55,10 +60,13 @@ def walk(begin: DataFrame, edges: DataFrame, min_len: int, max_len: int, seed: i
     """
     wanted = (F.lit(min_len) + F.floor(uniform(seed, "walk", F.lit("length")) * (max_len - min_len + 1) - 1e-12)).cast("int")
     state = begin.withColumn("wanted", wanted).select("walk", "at", "wanted", F.array("at").alias("path"), F.array().cast("array<string>").alias("keys"), F.lit(False).alias("stopped"))
+    out = edges.select("src", "dst", "key", "decayed")
     for step in range(1, max_len):
-        going = state.filter(~F.col("stopped") & (F.size("path") < F.col("wanted")))
-        hop = next_hops(going, edges, step, seed).withColumnRenamed("key", "hop_key")
-        moved = state.join(hop, "walk", "left")
+        # one join and one aggregate a step: each walk meets the edges out of where it is, and keeps the first of the race
+        going = ~F.col("stopped") & (F.size("path") < F.col("wanted"))
+        hop = F.min_by(F.struct("key", "dst"), race(seed, step)).alias("hop")
+        moved = state.join(out, going & (F.col("at") == F.col("src")), "left").groupBy("walk").agg(F.first(F.struct("at", "wanted", "path", "keys", "stopped")).alias("s"), hop)
+        moved = moved.select("walk", "s.*", F.col("hop.key").alias("hop_key"), F.col("hop.dst").alias("dst"))
         free = F.col("dst").isNotNull() & ~F.array_contains("path", F.col("dst"))
         state = moved.select(
             "walk",
@@ -93,26 +101,36 @@ def distractors(core: DataFrame, edges: DataFrame, pool: DataFrame, ratio: float
     return ranked.filter("rank <= extras").select("sample", "name", "tier")
 
 
-def format_skeletons(walks: DataFrame, nodes: DataFrame, negatives: DataFrame | None = None, pattern: str = "sequential") -> DataFrame:
-    """(sample, pattern, nodes, edges, meta): nodes with their roles, edges with steps from 1; meta only with negatives.
+def format_skeletons(walks: DataFrame, nodes: DataFrame, negatives: DataFrame | None = None, pattern: str = "sequential", edges: DataFrame | None = None, seed: int = 0) -> DataFrame:
+    """(sample, pattern, nodes, edges, meta): nodes with their roles, edges with steps from 1 and their parameter; meta only with negatives.
 
-    ``walks``: (walk, path); nodes without a description or category get ``""`` and ``general``.
+    ``walks``: (walk, path, keys); nodes without a description or category get ``""`` and ``general``. ``edges``: (key,
+    parameter); without them, or without keys, parameters are null. With negatives the nodes stand in a random order,
+    which a hash of (seed, sample, name) draws, so that their place does not tell their role.
     """
     core = walks.select(F.col("walk").alias("sample"), F.posexplode("path").alias("pos", "name")).withColumn("role", F.lit("core"))
-    every = core
+    every = core.withColumn("place", F.col("pos").cast("double"))
     if negatives is not None:
-        every = core.unionByName(negatives.select("sample", F.lit(1 << 20).alias("pos"), "name", F.lit("distractor").alias("role")))
+        others = negatives.select("sample", F.lit(1 << 20).alias("pos"), "name", F.lit("distractor").alias("role"))
+        every = core.unionByName(others).withColumn("place", uniform(seed, "sample", "name"))
     known = nodes.select("name", F.coalesce("description", F.lit("")).alias("description"), F.coalesce("category", F.lit("general")).alias("category"))
-    entry = F.struct("pos", "name", F.coalesce("description", F.lit("")).alias("description"), F.coalesce("category", F.lit("general")).alias("category"), "role")
+    entry = F.struct("place", "pos", "name", F.coalesce("description", F.lit("")).alias("description"), F.coalesce("category", F.lit("general")).alias("category"), "role")
     listed = every.join(known, "name", "left").groupBy("sample").agg(F.array_sort(F.collect_list(entry)).alias("listed"))
-    pick = lambda role: F.transform(F.filter("listed", lambda n: n["role"] == role), lambda n: n["name"])
+    paths = walks.select(F.col("walk").alias("sample"), "path")
+    if edges is not None and "keys" in walks.columns:
+        taken = walks.select(F.col("walk").alias("sample"), F.posexplode("keys").alias("at", "key")).join(edges.select("key", "parameter").dropDuplicates(["key"]), "key", "left")
+        held = taken.groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("at", F.col("parameter").cast("string").alias("parameter")))).alias("given"))
+        paths = paths.join(held, "sample", "left")
+    else:
+        paths = paths.withColumn("given", F.lit(None).cast("array<struct<at:int,parameter:string>>"))
+    parameter = lambda k: F.try_element_at("given", k)["parameter"]
     steps = F.transform(
         F.sequence(F.lit(1), F.size("path") - 1),
-        lambda k: F.struct(k.alias("step"), F.element_at("path", k).alias("from"), F.element_at("path", k + 1).alias("to"), F.struct(F.lit("provides_input_for").alias("relation")).alias("dependency")),
+        lambda k: F.struct(k.alias("step"), F.element_at("path", k).alias("from"), F.element_at("path", k + 1).alias("to"), F.struct(parameter(k).alias("parameter"), F.lit("provides_input_for").alias("relation")).alias("dependency")),
     )
-    meta = F.struct(pick("core").alias("core_chain_nodes"), pick("distractor").alias("distractor_nodes")) if negatives is not None else F.lit(None).cast("struct<core_chain_nodes:array<string>,distractor_nodes:array<string>>")
+    named = F.filter("listed", lambda n: n["role"] == "distractor")
+    meta = F.struct(F.col("path").alias("core_chain_nodes"), F.transform(named, lambda n: n["name"]).alias("distractor_nodes")) if negatives is not None else F.lit(None).cast("struct<core_chain_nodes:array<string>,distractor_nodes:array<string>>")
     shown = F.transform("listed", lambda n: F.struct(n["name"].alias("name"), n["description"].alias("description"), n["category"].alias("category"), n["role"].alias("role")))
-    paths = walks.select(F.col("walk").alias("sample"), "path")
     return listed.join(paths, "sample").select("sample", F.lit(pattern).alias("pattern"), shown.alias("nodes"), F.when(F.size("path") > 1, steps).otherwise(F.slice(steps, 1, 0)).alias("edges"), meta.alias("meta"))
 
 
@@ -166,6 +184,29 @@ def generate(edges: DataFrame, count: int, min_len: int, max_len: int, coverage:
         begun = new.select(F.col("path")[0].alias("name")).union(short.select(F.col("path")[0])).groupBy("name").agg(F.count(F.lit(1)).alias("visits"))
         coverage = coverage.add(considered.unionByName(walked), begun)
         gained = new.count()
-        kept = new if kept is None else kept.unionByName(new)
+        kept = new if kept is None else materialize(kept.unionByName(new), "skeletons")
         have, idle, round_ = have + gained, 0 if gained else idle + 1, round_ + 1
-    return kept if kept is not None else spark.createDataFrame([], "walk string, path array<string>, keys array<string>, id string"), coverage
+    kind = edges.schema["src"].dataType.simpleString()
+    return kept if kept is not None else spark.createDataFrame([], f"walk string, path array<{kind}>, keys array<string>, id string"), coverage
+
+
+#: what a mode calls its skeletons
+PATTERNS = {"chain": "sequential", "neighborhood": "neighborhood_subgraph"}
+
+
+def sample_skeletons(
+    nodes: DataFrame, edges: DataFrame, mode: str = "neighborhood", count: int = 10, min_len: int = 3, max_len: int = 6, expansion_ratio: float = 0.5, coverage: Coverage | None = None, batch: int = 256, seed: int = 0
+) -> tuple[DataFrame, Coverage]:
+    """Up to ``count`` skeletons of distinct fingerprints, and the coverage after them.
+
+    ``chain`` gives walks alone, ``neighborhood`` adds distractors: neighbours of the chain first, then random nodes. An
+    unknown mode draws nothing. ``nodes``: (name, description, category).
+    """
+    if mode not in PATTERNS:
+        count = 0
+    kept, after = generate(edges, count, min_len, max_len, coverage, batch, seed=seed)
+    negatives = None
+    if mode == "neighborhood":
+        core = kept.select(F.col("walk").alias("sample"), F.explode("path").alias("name"))
+        negatives = distractors(core, edges, nodes.select("name"), expansion_ratio, seed)
+    return format_skeletons(kept, nodes, negatives, PATTERNS.get(mode, mode), edges, seed), after

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from toolgraph.functions.hashing import uniform
 from toolgraph.functions.text import percent
 
 CONTEXT_LIMIT = 32000
@@ -17,7 +22,7 @@ CATEGORIES = {
     "live": ("data_live.csv", "Live Overall Acc"),
     "non_live": ("data_non_live.csv", "Non Live Overall Acc"),
     "agentic": ("data_agentic.csv", "Agentic Overall Acc"),
-    "format_sensitivity": ("data_format_sensitivity.csv", "Format Sensitivity Overall Acc"),
+    "format": ("data_format_sensitivity.csv", "Format Sensitivity Overall Acc"),
 }
 #: fixed values: the benchmark's subsets
 SUBSETS = [
@@ -54,18 +59,25 @@ def ranked(scores: DataFrame, column: str, *ties: str) -> DataFrame:
 def score_tables(spark: SparkSession, root: str, file: str) -> DataFrame:
     """``<root>/<experiment>/score/<file>`` of all experiments under one header: that of the first; columns go by position.
 
-    Adds ``Experiment`` and ``row_ord`` in front. Empty and missing files are skipped; short rows have nulls at the end.
+    Adds ``Experiment`` and ``row_ord`` in front. Empty and missing files are skipped; short rows have nulls at the end,
+    cells beyond the header are left out, and quoted cells may hold line breaks.
     """
-    lines = spark.read.format("binaryFile").load(f"{root}/*/score/{file}").select(
-        F.regexp_extract("path", r"/([^/]+)/score/[^/]+$", 1).alias("Experiment"), F.posexplode(F.split(F.decode("content", "UTF-8"), r"\r?\n")).alias("row_ord", "line")
-    ).filter(F.trim("line") != "")
-    first = lines.filter("row_ord = 0").orderBy("Experiment").select("line").first()
+    files = spark.read.format("binaryFile").load(f"{root}/*/score/{file}").select(F.regexp_extract("path", r"/([^/]+)/score/[^/]+$", 1).alias("Experiment"), F.decode("content", "UTF-8").alias("text"))
+    kind = "Experiment string, row_ord int, cells array<string>"
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [(e, k, cells) for e, text in zip(frame["Experiment"], frame["text"], strict=True) for k, cells in enumerate(csv.reader(io.StringIO(text, newline=""))) if cells]
+            yield pd.DataFrame(found, columns=["Experiment", "row_ord", "cells"])
+
+    cells = files.mapInPandas(rows, kind)
+    first = cells.filter("row_ord = 0").orderBy("Experiment").select("cells").first()
     if first is None:
         return spark.createDataFrame([], "Experiment string, row_ord int")
-    cut = lambda c: F.from_csv(c, ", ".join(f"c{k} string" for k in range(64)))
-    header = [v for v in spark.createDataFrame([(first["line"],)], "line string").select(cut(F.col("line")).alias("r")).first()["r"] if v is not None]
-    body = lines.filter("row_ord > 0").withColumn("r", cut(F.col("line")))
-    return body.select("Experiment", "row_ord", *[F.col(f"r.c{k}").alias(h) for k, h in enumerate(header)])
+    taken = ["Experiment", "row_ord"]
+    for k, name in enumerate(first["cells"]):
+        taken.append(name if name and name not in taken else f"{name}_{k}")  # an empty or repeated name keeps its place under a name of its own
+    return cells.filter("row_ord > 0").select("Experiment", "row_ord", *[F.try_element_at("cells", F.lit(k + 1)).alias(h) for k, h in enumerate(taken[2:])])
 
 
 def normalised(score: Column) -> Column:
@@ -101,3 +113,18 @@ def context_use(tokens: Column, limit: int = CONTEXT_LIMIT) -> Column:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, frames)
+
+
+def limited(rows: DataFrame, limit: int | None, *order: str) -> DataFrame:
+    """The first ``limit`` rows in the given order; all of them if there is no limit, or none above 0."""
+    return rows.orderBy(*order).limit(limit) if limit and limit > 0 else rows
+
+
+def subsample(rows: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
+    """About that share of the rows, drawn by a hash of ``key``: the same rows in every run."""
+    return rows.filter(uniform(seed, key) <= share)
+
+
+def multi_turn_only(rows: DataFrame, wanted: bool = True) -> DataFrame:
+    """Rows whose ``multi_turn`` is true; all of them if that is not wanted or there is no such column."""
+    return rows.filter(F.coalesce(F.col("multi_turn").cast("boolean"), F.lit(False))) if wanted and "multi_turn" in rows.columns else rows

@@ -12,7 +12,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from toolgraph.functions.text import STOP, STOP_FAILED
+from toolgraph.functions.text import SIMULATION_FAILED, STOP, STOP_FAILED
 from toolgraph.operators.chat import BLOCKS
 from toolgraph.scratch import materialize
 
@@ -42,20 +42,29 @@ def converse(query: str, tools: list[str], user: UserModel, assistant: Assistant
     turn = 0
     while True:
         turn += 1
-        text = STOP_FAILED if turn > max_turns else query if turn == 1 else user(query, memory)
+        try:
+            text = STOP_FAILED if turn > max_turns else query if turn == 1 else user(query, memory)
+        except Exception:  # without a user the conversation has failed
+            text = STOP_FAILED
         if turn > 1 and text != STOP_FAILED and STOP in text:
             text = STOP
         say("user", "user" if turn == 1 or text == STOP_FAILED else "assistant", block("text", text))
         if text in (STOP, STOP_FAILED):
             return memory
         for _ in range(max_steps):
-            text, calls = assistant(tools, memory)
+            try:
+                text, calls = assistant(tools, memory)
+            except Exception:  # as above; the user speaks next
+                break
             said = [block("text", text)] if text else []
             say("assistant", "assistant", *said, *[block("tool_use", call=c) for c in calls])
             if not calls:
                 break
             for call in calls:
-                output = tool(call[1], call[2], memory)
+                try:
+                    output = tool(call[1], call[2], memory)
+                except Exception:  # a provider may fail in any way; the conversation goes on with an error object
+                    output = SIMULATION_FAILED
                 say("system", "system", block("tool_result", call=call, output=output or "{}"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from toolgraph.functions.hashing import skeleton_id
 from toolgraph.functions.text import strip
 
 PARAMETERS = "struct<type:string,properties:map<string,variant>,required:array<string>>"
@@ -15,17 +16,17 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
 
 
-def tool_entries(lines: DataFrame) -> DataFrame:
+def tool_entries(lines: DataFrame, unpack: bool = True) -> DataFrame:
     """(ord, pos, n, name, description, parameters, sound): the tools of each JSON line, before dedup.
 
     A string ``tools`` is a JSON array of tools, otherwise the row is the tool; each may stand in a ``function``
     envelope. Absent description and parameters become empty, but a null one makes the entry unsound, as does no name.
-    Lines that are no JSON, or whose ``tools`` text is none, have no entries.
+    Lines that are no JSON, or whose ``tools`` text is none, have no entries. Without ``unpack`` every row is a tool.
     """
     row = F.try_parse_json("line")
     packed = F.try_variant_get("row", "$.tools", "string")
     is_packed = F.coalesce(F.schema_of_variant(F.try_variant_get("row", "$.tools", "variant")) == "STRING", F.lit(False))
-    listed = F.when(is_packed, F.try_parse_json(packed).try_cast("array<variant>")).otherwise(F.array("row"))
+    listed = F.when(is_packed & F.lit(unpack), F.try_parse_json(packed).try_cast("array<variant>")).otherwise(F.array("row"))
     rows = lines.withColumn("row", row).filter("row IS NOT NULL").withColumn("list", listed)
     found = rows.select("ord", F.size("list").alias("n"), F.posexplode("list").alias("pos", "entry"))
     body = F.coalesce(F.try_variant_get("entry", "$.function", "variant"), F.col("entry"))
@@ -63,7 +64,7 @@ def catalog(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def tool_map(lines: DataFrame) -> DataFrame:
     """(name, description, parameters): the last definition of each name; no packed rows, every line must be a tool."""
-    entries = tool_entries(lines).filter("name IS NOT NULL")
+    entries = tool_entries(lines, unpack=False).filter("name IS NOT NULL")
     return entries.groupBy("name").agg(F.max_by(F.struct("description", "parameters"), "ord").alias("t")).select("name", "t.*")
 
 
@@ -92,6 +93,16 @@ def skeletons_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.drop("_corrupt_record").filter(F.lit(not bad))
 
 
+def skeleton_map(rows: DataFrame) -> DataFrame:
+    """``rows`` (edges, perhaps id) with ``skeleton_id``: their own id, or else their fingerprint; of equal ids the last row in file order stays.
+
+    Rows without edges are bad and fall out.
+    """
+    own = F.col("id").cast("string") if "id" in rows.columns else F.lit(None).cast("string")
+    keyed = rows.filter("edges IS NOT NULL").withColumn("skeleton_id", F.coalesce(own, skeleton_id("edges"))).withColumn("__ord", F.monotonically_increasing_id())
+    return last_of_each(keyed, "skeleton_id", "__ord").drop("__ord")
+
+
 def done_list(spark: SparkSession, path: str, key: str = "subset") -> DataFrame:
     """Distinct trimmed lines; empty if there is no such file."""
     jvm = spark.sparkContext._jvm

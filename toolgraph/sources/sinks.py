@@ -45,6 +45,32 @@ def graphml_head(nodes: DataFrame, edges: DataFrame) -> str:
 GRAPHML_END = "</graph></graphml>"
 
 
+def node_link_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(part, at, line): a node-link document of a directed multigraph, line by line, in the order of (part, at)."""
+
+    def listed(part: int, df: DataFrame, *order: str) -> DataFrame:
+        line = F.to_json(F.struct(*df.columns))
+        rows = df.select(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in order], line).alias("at"), line.alias("line"))
+        least = rows.agg(F.min("at").alias("least"))  # one row: the entry without a comma before it
+        return rows.crossJoin(least).select(F.lit(part).alias("part"), "at", F.when(F.col("at") == F.col("least"), F.col("line")).otherwise(F.concat(F.lit(","), "line")).alias("line"))
+
+    ns, es = nodes.withColumnRenamed("name", "id"), edges.withColumnsRenamed({"src": "source", "dst": "target"})
+    fixed = [(0, "", '{"directed":true,"multigraph":true,"graph":{},"nodes":['), (2, "", '],"links":['), (4, "", "]}")]
+    marks = nodes.sparkSession.createDataFrame(fixed, "part int, at string, line string")
+    return marks.unionByName(listed(1, ns, "id")).unionByName(listed(3, es, "source", "target"))
+
+
+def graphml_document(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(part, at, line): a GraphML document, line by line, in the order of (part, at)."""
+    ends = nodes.sparkSession.createDataFrame([(0, "", graphml_head(nodes, edges)), (2, "", GRAPHML_END)], "part int, at string, line string")
+    return ends.unionByName(graphml_lines(nodes, edges).select(F.lit(1).alias("part"), F.concat(F.when(F.col("line").startswith("<node"), F.lit("1 ")).otherwise(F.lit("2 ")), "line").alias("at"), "line"))
+
+
+def write_document(lines: DataFrame, path: str) -> None:
+    """Text files whose names sort in the order of the lines, so that read one after the other they are one document."""
+    lines.repartitionByRange("part", "at").sortWithinPartitions("part", "at").select("line").write.mode("overwrite").text(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """JSON lines without null fields."""
     df.write.mode("overwrite").option("ignoreNullFields", True).json(path)
