@@ -27,7 +27,7 @@ def test_generated_skeletons_keep_the_samplers_rules(spark, sf_dir):
         core, extra = r.meta.core_chain_nodes, r.meta.distractor_nodes
         assert 2 <= len(core) <= 4 and len(set(core)) == len(core)
         assert not set(core) & set(extra) and len(extra) == int(len(core) * 0.5) + 1
-        assert [n.name for n in r.nodes if n.role == "core"] == core
+        assert sorted(n.name for n in r.nodes if n.role == "core") == sorted(core)  # nodes are shuffled
         assert [(e.step, e["from"], e.to) for e in r.edges] == [(k + 1, a, b) for k, (a, b) in enumerate(zip(core, core[1:]))]
         assert all((a, b) in edges for a, b in zip(core, core[1:]))
         seen.add(tuple(sorted(zip(core, core[1:]))))

@@ -151,10 +151,9 @@ def hash_uniforms(spark, sf_dir):
 
 def generated_skeletons(spark, sf_dir):
     edges = proxy_edges(spark, sf_dir)
-    kept, after = sampling.generate(edges, 100, 2, 4, batch=64, seed=3)
-    negatives_of = sampling.distractors(kept.select(F.col("walk").alias("sample"), F.explode("path").alias("name")), edges, proxy_nodes(spark, sf_dir), 0.5, 3)
     nodes = proxy_nodes(spark, sf_dir).select("name", F.concat(F.lit("vector "), F.col("name").cast("string")).alias("description"), F.lit("general").alias("category"))
-    return sampling.format_skeletons(kept, nodes, negatives_of, "neighborhood_subgraph")
+    made, _ = sampling.sample_skeletons(nodes, edges, "neighborhood", 100, 2, 4, batch=64, seed=3)
+    return made
 
 
 QUERIES = {f.__name__: f for f in (

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from toolgraph.functions import policy, text
-from toolgraph.functions.hashing import intent_id
+from toolgraph.functions.hashing import intent_id, json_string
 from toolgraph.operators import chat, providers, scores, simulation
 from toolgraph.plans.graph_queries import table
 from toolgraph.sources import catalog
@@ -69,17 +71,20 @@ def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.coalesce(value, F.lit(-1).cast("long")).alias("k"))
 
 
-def wrapped(kind):
-    body = F.concat(F.lit('{"valid": '), F.when(F.col("n_chars") % 2 == 0, "true").otherwise("false"), F.lit("}"))
-    return F.concat(F.lit("Answer: "), body, F.lit(" done")) if kind == "first" else F.concat(F.lit("```json\n"), body, F.lit("\n```"))
+def valid_part():
+    return F.when(F.col("n_chars") % 2 == 0, "true").otherwise("false")
 
 
 def first_json(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.first_json(wrapped("first")).alias("json"), providers.verdict(wrapped("first")).alias("valid"))
+    """A verdict in the middle of a reply that has the whole text of a document before and after it."""
+    reply = F.concat("text", F.lit(' Answer: {"valid": '), valid_part(), F.lit("} "), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", text.first_json(reply).alias("json"), providers.verdict(reply).alias("valid"))
 
 
 def fence_strip(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.simulated_output(wrapped("fence")).alias("output"))
+    """A simulator's fenced reply that holds the whole text of a document."""
+    reply = F.concat(F.lit('```json\n{"valid": '), valid_part(), F.lit(', "text": '), json_string("text"), F.lit("}\n```"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.simulated_output(reply).alias("output"))
 
 
 def title_words(spark, sf_dir):
@@ -137,7 +142,7 @@ def kl_policy(spark, sf_dir):
 
 def intent_ids(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", intent_id(F.substring_index("text", " ", 5), F.array("source", "lang"), F.array(F.lit("ip"), F.lit("city")), F.array("lang")).alias("id"))
+    return docs.select("doc_id", intent_id("text", F.array("source", "lang"), F.array(F.lit("ip"), F.lit("city")), F.array("lang")).alias("id"))
 
 
 def part_lines(spark, sf_dir):
@@ -217,6 +222,10 @@ ROLE_SQL = "CASE role WHEN 'user' THEN 'user' WHEN 'assistant' THEN 'assistant'
 CONV_TOKENS = r"t AS (SELECT conv_id, CAST(sum(len(regexp_extract_all(text, '\S+'))) AS BIGINT) AS n_tokens, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations GROUP BY 1)"
 TOOLS = """l AS (SELECT p_partkey AS ord, p_brand || '_' || p_type AS name, p_name AS description, p_size FROM part),
 f AS (SELECT name, min(ord) AS ord, arg_min(description, ord) AS description, arg_min(p_size, ord) AS p_size FROM l GROUP BY name)"""
+ESCAPES = {92: "chr(92) || chr(92)", 34: "chr(92) || '\"'", 10: "chr(92) || 'n'", 13: "chr(92) || 'r'", 9: "chr(92) || 't'", 8: "chr(92) || 'b'", 12: "chr(92) || 'f'"}
+ESCAPES |= {c: f"chr(92) || 'u{c:04x}'" for c in range(1, 32) if c not in ESCAPES}
+#: a document's whole text as a JSON string
+QUOTED = f"""'"' || {reduce(lambda sql, c: f"replace({sql}, chr({c}), {ESCAPES[c]})", ESCAPES, "text")} || '"'"""
 DOC_VALID = "CASE WHEN n_chars % 2 = 0 THEN 'true' ELSE 'false' END"
 ORACLE = {
     "chat_rows": f"SELECT conv_id, string_agg({ROLE_SQL} || chr(9) || text, chr(10) ORDER BY turn) AS chat, CAST(count(*) AS INT) AS n FROM conversations GROUP BY conv_id",
@@ -229,8 +238,9 @@ ORACLE = {
     "length_histogram": "SELECT turns, count(*) AS n FROM (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY 1) GROUP BY 1",
     "think_insert": "SELECT conv_id, turn, replace(role || chr(10) || text, 'assistant' || chr(10), 'assistant' || chr(10) || '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10)) AS text FROM conversations",
     "json_props": "SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS k FROM events",
-    "first_json": f"""SELECT doc_id, '{{"valid": ' || {DOC_VALID} || '}}' AS json, n_chars % 2 = 0 AS valid FROM documents""",
-    "fence_strip": f"""SELECT doc_id, '{{"valid": ' || {DOC_VALID} || '}}' AS output FROM documents""",
+    "first_json": f"""WITH r AS (SELECT doc_id, regexp_extract(text || ' Answer: {{"valid": ' || {DOC_VALID} || '}} ' || text, '(?s)\\{{.*?\\}}') AS inner_json FROM documents),
+j AS (SELECT doc_id, CASE WHEN json_valid(inner_json) THEN inner_json END AS json FROM r) SELECT doc_id, json, coalesce(json_extract_string(json, '$.valid') = 'true', FALSE) AS valid FROM j""",
+    "fence_strip": f"""SELECT doc_id, trim(replace('{{"valid": ' || {DOC_VALID} || ', "text": ' || {QUOTED} || '}}', '```', ''), ' ') AS output FROM documents""",
     "title_words": "SELECT p_partkey, array_to_string(list_transform(string_split(p_type, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS title FROM part",
     "pct_rank": """WITH r AS (SELECT user_id, round(count(*) FILTER (event_type = 'click') * 100.0::DOUBLE / count(*), 2) AS acc FROM events GROUP BY 1)
 SELECT user_id, acc, CAST(row_number() OVER (ORDER BY acc DESC, user_id) AS VARCHAR) AS rank FROM r""",
@@ -248,9 +258,7 @@ FROM n q LEFT JOIN n a ON a.conv_id = q.conv_id AND a.pos = q.pos AND a.role = '
     "kl_policy": """WITH b AS (SELECT user_id, -value / 100.0::DOUBLE AS old, (event_id % 7 - 3.5::DOUBLE) / 100.0::DOUBLE AS d7, (event_id % 5 - 2.5::DOUBLE) / 100.0::DOUBLE AS d5, CASE WHEN event_type <> 'view' THEN 1 ELSE 0 END AS mask FROM events),
 t AS (SELECT user_id, mask, -least(exp(d7), least(greatest(exp(d7), 0.8::DOUBLE), 1.2::DOUBLE)) + 0.04::DOUBLE * (exp(d5 - d7) - (d5 - d7) - 1) AS total FROM b)
 SELECT user_id, round(sum(total * mask) / nullif(sum(mask), 0), 6) AS loss FROM t GROUP BY 1""",
-    "intent_ids": """WITH q AS (SELECT doc_id, lang, source, array_to_string(string_split(text, ' ')[1:5], ' ') AS query FROM documents),
-j AS (SELECT *, '"' || replace(replace(replace(replace(replace(query, chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't') || '"' AS quoted FROM q)
-SELECT doc_id, md5('{"final_keys": ["' || lang || '"], "init_keys": ["city", "ip"], "q": ' || quoted || ', "tools": ["' || least(lang, source) || '", "' || greatest(lang, source) || '"]}') AS id FROM j""",
+    "intent_ids": f"""SELECT doc_id, md5('{{"final_keys": ["' || lang || '"], "init_keys": ["city", "ip"], "q": ' || {QUOTED} || ', "tools": ["' || least(lang, source) || '", "' || greatest(lang, source) || '"]}}') AS id FROM documents""",
     "catalog_tools": f"WITH {TOOLS} SELECT ord, name, description, 'general' AS category, 'size' AS required FROM f",
     "catalog_last": f"WITH {TOOLS} SELECT name, arg_max(description, ord) AS description FROM l GROUP BY name",
     "tool_texts": f"WITH {TOOLS} SELECT name, '' AS param, name || ': ' || description AS text FROM f UNION ALL SELECT name, 'size', 'Parameter size: size ' || p_size FROM f",
