@@ -261,6 +261,27 @@ def test_op10_learns(spark, sf_dir):
     assert not any(r.toxic for r in rows) and len(rows) == odd.count()
 
 
+def test_op10_beats_saying_no_and_trains_each_category_on_its_own_labels(spark):
+    rng = np.random.default_rng(10)
+    toxic = rng.random(240) < 0.25
+    plain = words(70, 400)
+    texts = [" ".join([*rng.choice(plain, 40), *(["vile", "wretch"] if t else [])]) for t in toxic]
+    docs = spark.createDataFrame([*enumerate(texts), (999, None)], "doc_id long, text string")
+    # quality is null for every second row and toxic for every third; one label is doubled, one has no document
+    marks = [(k, None if k % 2 else 1, None if k % 3 == 0 else int(t)) for k, t in enumerate(toxic[:160])]
+    labels = spark.createDataFrame([*marks, marks[1], (5000, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r for r in toxicity.predict(docs, toxicity.train(docs, labels)).collect()}
+    held = range(160, 240)
+    hits = sum(found[k].toxic and toxic[k] for k in held)
+    f1 = 2 * hits / (sum(found[k].toxic for k in held) + sum(toxic[k] for k in held))
+    assert f1 > 0.95 and not found[999].toxic and not any(found[k].low_quality for k in held)
+    only = labels.withColumn("quality", F.lit(None).cast("int"))
+    again = {r.doc_id: r.toxic for r in toxicity.predict(docs, toxicity.train(docs, only)).collect()}
+    assert sum(again[k] == bool(toxic[k]) for k in held) >= 76
+    one_class = labels.withColumn("toxic", F.lit(0))
+    assert not any(r.toxic for r in toxicity.predict(docs, toxicity.train(docs, one_class)).collect())
+
+
 def test_shingles_do_not_depend_on_the_batch():
     texts = ["Hello, big World of words here", None, "", "a b", "x " * 50]
     together, starts = shingles.word_hashes(pa.array(texts, pa.string()))

@@ -15,7 +15,7 @@ threshold is missed with probability ``MISS`` at most. Several points a cell kee
 the tables few: a few for a label of 10^5 vectors, some 50 for one of 10^9.
 
 Equal vectors collapse into one with a count of copies first. Then only ids move,
-each with the signs of 64 random projections: cells with one vector, or with
+each with the signs of 128 random projections: cells with one vector, or with
 nobody at home, fall out, and of the others those vectors stay whose signs agree
 with another's as well as two at the threshold would (again but for ``MISS``).
 Only these are sent to their cells as vectors. Cells with more rows than a block
@@ -55,7 +55,7 @@ from toolgraph.scratch import drop, materialize
 THRESHOLD = 0.93
 MISS = 1e-5
 #: rows of a cell that are compared as one block
-BLOCK = 4096
+BLOCK = 1024
 #: what a plan is chosen from
 SCALES = (0.25, 0.3125, 0.4, 0.5, 0.6)
 POINTS = (1, 2, 3, 4)
@@ -63,7 +63,8 @@ PROBES = (2, 8, 24)
 #: neighbours of a point that probes choose from
 NEARBY = 3
 #: microseconds to find a lattice point, to send an id to a cell, and to compare its signs with another's there
-DECODE, SEND, COMPARE = 8.0, 4.0, 0.003
+DECODE, SEND, COMPARE = 8.0, 4.0, 0.006
+SIGNS = 128
 #: rows whose signs are compared at once with all of their group
 TILE = 512
 
@@ -171,19 +172,19 @@ def plan(rows: int, dim: int, threshold: float = THRESHOLD) -> Plan:
 
 
 def most_flips(threshold: float) -> int:
-    """How many of 64 signs two vectors at the threshold have different, at most, but for ``MISS``."""
+    """How many of 128 signs two vectors at the threshold have different, at most, but for ``MISS``."""
     p = math.acos(threshold) / math.pi
     tail, k = 1.0, -1
     while tail > MISS:
         k += 1
-        tail -= math.comb(64, k) * p**k * (1 - p) ** (64 - k)
+        tail -= math.comb(SIGNS, k) * p**k * (1 - p) ** (SIGNS - k)
     return k
 
 
 def signs(unit: np.ndarray) -> np.ndarray:
-    """64 signs of random projections, packed."""
-    above = unit @ np.random.default_rng([unit.shape[1], 1]).normal(size=(unit.shape[1], 64)) > 0
-    return np.packbits(above, axis=1).view(np.uint64).ravel()
+    """(rows, 2): signs of random projections, packed."""
+    above = unit @ np.random.default_rng([unit.shape[1], 1]).normal(size=(unit.shape[1], SIGNS)) > 0
+    return np.packbits(above, axis=1).view(np.uint64)
 
 
 def meets(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -260,18 +261,18 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def partnered(rows: DataFrame, threshold: float) -> DataFrame:
-    """The rows (cell, a, b, chunk, rep, home, table, signs) whose signs agree well enough with those of another row of the group that they may be compared with."""
+    """The rows (cell, a, b, chunk, rep, home, table, signs_1, signs_2) whose signs agree well enough with those of another row of the group that they may be compared with."""
     flips = most_flips(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches):
-            chunk, home, own = (table[c].to_numpy() for c in ("chunk", "home", "signs"))
+            chunk, home, *own = (table[c].to_numpy() for c in ("chunk", "home", "signs_1", "signs_2"))
             a, b = table["a"][0].as_py(), table["b"][0].as_py()
             some = np.zeros(len(chunk), bool)
             y = np.flatnonzero(chunk == b)
             for at in range(0, len(chunk), TILE):
                 x = at + np.flatnonzero(chunk[at : at + TILE] == a)
-                near = np.bitwise_count(own[x].view(np.uint64)[:, None] ^ own[y].view(np.uint64)[None, :]) <= flips
+                near = sum(np.bitwise_count(s[x][:, None] ^ s[y][None, :]) for s in (o.view(np.uint64) for o in own)) <= flips
                 near &= home[x][:, None] | home[y][None, :]
                 near &= x[:, None] != y[None, :]
                 some[x] |= near.any(axis=1)
@@ -296,7 +297,7 @@ def links_in_cells(rows: DataFrame, threshold: float, plans: dict[tuple[int, int
 
 
 def cell_rows(distinct: DataFrame, plans: dict[tuple[int, int], Plan]) -> DataFrame:
-    """(cell, rep, table, home, signs): the cells of each vector, its own and those it probes."""
+    """(cell, rep, table, home, signs_1, signs_2): the cells of each vector, its own and those it probes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -310,9 +311,10 @@ def cell_rows(distinct: DataFrame, plans: dict[tuple[int, int], Plan]) -> DataFr
                     n, tables, width = codes.shape
                     of = np.repeat(np.arange(n), tables * width)
                     columns = [own.column("rep").take(pa.array(of)), pa.array(np.tile(np.repeat(np.arange(tables), width), n), pa.int32()), pa.array(np.tile(np.arange(width) == 0, n * tables))]
-                    yield pa.RecordBatch.from_arrays([pa.array(codes.ravel()), *columns, pa.array(signs(unit)[of].view(np.int64))], ["cell", "rep", "table", "home", "signs"])
+                    marks = signs(unit).view(np.int64)[of]
+                    yield pa.RecordBatch.from_arrays([pa.array(codes.ravel()), *columns, *[pa.array(np.ascontiguousarray(marks[:, k])) for k in (0, 1)]], ["cell", "rep", "table", "home", "signs_1", "signs_2"])
 
-    return distinct.select("rep", "v", "dim", "size_class", "label_hash").mapInArrow(run, "cell long, rep long, table int, home boolean, signs long")
+    return distinct.select("rep", "v", "dim", "size_class", "label_hash").mapInArrow(run, "cell long, rep long, table int, home boolean, signs_1 long, signs_2 long")
 
 
 def lattice_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -14,8 +14,10 @@ predictions.
 
 Defined results: a null text, or one without words, has probability 0 in every
 category and is not toxic. Labels repeated for one doc_id count as their
-maximum; labels without a document, or with a null label, do not train. If the
-sample has one class only, that category's probability is its base rate. Rows
+maximum; labels without a document do not train, and a null label does not train
+its category (later ones see the fitted model's log odds for such a row). If the
+sample has one class only, that category's probability is its base rate; a
+category that no row is labelled for is found nowhere. Rows
 repeated under one id get equal predictions. Other columns are ignored.
 """
 
@@ -68,8 +70,8 @@ def presence(rows: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
     out = np.zeros((len(rows), len(vocabulary)))
     if not len(vocabulary):
         return out
-    lengths = np.array([len(r) for r in rows])
-    words = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+    lengths = np.array([len(r) for r in rows], np.int64)
+    words = np.concatenate([np.zeros(0, np.uint64), *rows])
     at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
     hit = vocabulary[at] == words
     out[np.repeat(np.arange(len(rows)), lengths)[hit], at[hit]] = 1.0
@@ -78,8 +80,8 @@ def presence(rows: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
 
 def associated_words(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Hashes of the words most associated with the label, sorted."""
-    lengths = np.array([len(r) for r in rows])
-    words, inverse = np.unique(np.concatenate(rows), return_inverse=True)
+    lengths = np.array([len(r) for r in rows], np.int64)
+    words, inverse = np.unique(np.concatenate([np.zeros(0, np.uint64), *rows]), return_inverse=True)
     having = np.bincount(inverse, minlength=len(words)).astype(float)
     positive = np.bincount(inverse, weights=np.repeat(y, lengths), minlength=len(words))
     share = y.mean()
@@ -114,7 +116,7 @@ class Linear:
 
 
 class Chain:
-    """Models of all categories in order."""
+    """Models of all categories in order. ``labels``: 0, 1, or NaN where a row has none."""
 
     def __init__(self, rows: list[np.ndarray], dense: np.ndarray, labels: np.ndarray, names: tuple[str, ...] = CATEGORIES):
         self.names = names
@@ -124,17 +126,20 @@ class Chain:
         fold = np.arange(len(rows)) % FOLDS
         earlier = np.zeros((len(rows), 0))
         for k in range(len(names)):
-            y = labels[:, k].astype(float)
-            apart = np.zeros(len(rows))
-            for f in range(FOLDS) if len(rows) >= 2 * FOLDS else []:
-                own, out = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-                words = associated_words([rows[i] for i in own], y[own])
-                model = Linear(np.hstack([presence([rows[i] for i in own], words), dense[own], earlier[own]]), y[own])
-                apart[out] = model.log_odds(np.hstack([presence([rows[i] for i in out], words), dense[out], earlier[out]]))
-            words = associated_words(rows, y)
+            given = np.flatnonzero(~np.isnan(labels[:, k]))
+            y = labels[given, k].astype(float) if len(given) else np.zeros(len(rows))
+            given = given if len(given) else np.arange(len(rows))
+            of = lambda places, words: np.hstack([presence([rows[i] for i in places], words), dense[places], earlier[places]])  # noqa: E731, B023
+            words = associated_words([rows[i] for i in given], y)
+            model = Linear(of(given, words), y)
+            apart = model.log_odds(of(np.arange(len(rows)), words))
+            for f in range(FOLDS) if len(given) >= 2 * FOLDS else []:
+                own, out = np.flatnonzero(fold[given] != f), given[fold[given] == f]
+                seen = associated_words([rows[i] for i in given[own]], y[own])
+                apart[out] = Linear(of(given[own], seen), y[own]).log_odds(of(out, seen))
             self.vocabularies.append(words)
-            self.models.append(Linear(np.hstack([presence(rows, words), dense, earlier]), y))
-            self.thresholds.append(best_threshold(sigmoid(apart), y))
+            self.models.append(model)
+            self.thresholds.append(best_threshold(sigmoid(apart[given]), y))
             earlier = np.hstack([earlier, np.clip(apart, -30, 30)[:, None]])
 
     def probabilities(self, rows: list[np.ndarray], dense: np.ndarray) -> np.ndarray:
@@ -161,7 +166,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, text, low_quality, toxic) of about ``limit`` labelled documents at most."""
     marked = (
-        labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
+        labels.filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
         .groupBy("doc_id")
         .agg(F.max(1 - F.col("quality")).cast("int").alias("low_quality"), F.max("toxic").cast("int").alias("toxic"))
     )
@@ -189,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Chain
     if not len(found):
         return None
     words = [np.frombuffer(w, np.uint64) for w in found["words"]]
-    return Chain(words, np.stack([np.frombuffer(d, np.float64) for d in found["dense"]]), found[list(CATEGORIES)].to_numpy())
+    return Chain(words, np.stack([np.frombuffer(d, np.float64) for d in found["dense"]]), found[list(CATEGORIES)].to_numpy(float))
 
 
 def predict(docs: DataFrame, chain: Chain | None) -> DataFrame:
