@@ -2,11 +2,10 @@
 
 A chosen and a rejected conversation are compared turn by turn; their longest
 common prefix is rendered once as the prompt, and what follows in each is its
-completion, with a mask that trains assistant turns only. Turns are compared by
-position with a join on (pair, position), and the prefix ends before the first
-position where role or text differ or one conversation is over. All of it is
-joins, aggregates and array functions; a conversation is one row of a bounded
-number of turns only after its own turns were gathered.
+completion, with a mask that trains assistant turns only. A conversation's turns
+are gathered into one row; a pair is two such rows, whose turns are compared place
+by place with array functions, and the prefix ends before the first place where
+role or text differ or one conversation is over.
 
 :func:`preference_pairs` makes pairs from a table of conversations: among
 conversations that open with the same turn, the best one (most assistant
