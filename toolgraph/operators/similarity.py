@@ -13,8 +13,10 @@ RECALL, AUTO, TOP_K = 0.7, 0.8, 5
 
 
 def unit_rows(column: pa.ChunkedArray) -> np.ndarray:
-    v = np.array(column.to_pylist(), dtype=np.float64)
-    return v / np.where((n := np.linalg.norm(v, axis=1, keepdims=True)) > 0, n, 1.0)  # a zero vector is similar to nothing
+    """Rows of unit length, from a list column whose lists are equally long; a zero vector stays zero and is similar to nothing."""
+    lists = column.combine_chunks()
+    v = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+    return v / np.where((n := np.linalg.norm(v, axis=1, keepdims=True)) > 0, n, 1.0)
 
 
 def best_in_block(consumers: pa.Table, producers: pa.Table, recall: float, k: int) -> pa.Table:
@@ -22,11 +24,14 @@ def best_in_block(consumers: pa.Table, producers: pa.Table, recall: float, k: in
     ids = np.array(producers["producer"].to_pylist(), dtype=object)
     rank = np.argsort(ids, kind="stable")  # ties go to the smaller producer
     scores = unit_rows(consumers["v"]) @ unit_rows(producers["v"])[rank].T
-    best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    rows, cols = np.nonzero(np.take_along_axis(scores, best, axis=1) > recall)
-    chosen = best[rows, cols]
+    rows, cols = np.nonzero(scores > recall)
+    order = np.lexsort((cols, -scores[rows, cols], rows))  # only what is over recall is sorted
+    rows, cols = rows[order], cols[order]
+    first = np.searchsorted(rows, rows)
+    best = np.arange(len(rows)) - first < k
+    rows, cols = rows[best], cols[best]
     taken = pa.array(rows)
-    return pa.table({"consumer": consumers["consumer"].take(taken), "param": consumers["param"].take(taken), "producer": pa.array(ids[rank[chosen]].tolist(), producers["producer"].type), "score": pa.array(scores[rows, chosen])})
+    return pa.table({"consumer": consumers["consumer"].take(taken), "param": consumers["param"].take(taken), "producer": pa.array(ids[rank[cols]].tolist(), producers["producer"].type), "score": pa.array(scores[rows, cols])})
 
 
 def top_matches(producers: DataFrame, consumers: DataFrame, recall: float = RECALL, k: int = TOP_K, block: int = BLOCK) -> DataFrame:
