@@ -31,6 +31,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on the session's Arrow batches have at most so many rows: batches of whole texts fit into small executors."""
+    spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def materialize(df: DataFrame, name: str, batch_rows: int = 1000) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: cuts lineage and survives lost executors.
 
