@@ -15,11 +15,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from toolgraph.llm import bpe, exact_dedup, language_id, minhash, mixing
-from toolgraph.scratch import materialize
+from toolgraph.scratch import materialize, short_batches
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that no language model accepts (no letters, or cross-entropy far above its language's)."""
+    short_batches(spark)
     return language_id.keep_known(docs, language_id.train(docs))
 
 
@@ -28,6 +29,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return minhash.drop_near_duplicates(docs)
 
 
@@ -36,6 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark, 2500)  # the encoder looks each chunk of a batch up once
     return bpe.token_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
