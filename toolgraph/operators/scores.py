@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from toolgraph.functions.hashing import uniform
 from toolgraph.functions.text import percent
+from toolgraph.scratch import materialize
 
 CONTEXT_LIMIT = 32000
 #: fixed values: of each category its score file and the column that ranks it
@@ -43,6 +44,15 @@ def chosen_subsets(text: str | None) -> list[str]:
     return [s.strip() for s in text.split(",") if s.strip()] if text and text.strip() else SUBSETS
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds 1..n in the given order: a range sort, and an offset for each of its partitions, so that no task holds all rows."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the partition
+    placed = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__place", place), "numbered")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))  # one row a partition
+    return placed.join(F.broadcast(sizes), "__part").withColumn(name, F.col("__before") + F.col("__place") + 1).drop("__part", "__place", "__n", "__before")
+
+
 def ranked(scores: DataFrame, column: str, *ties: str) -> DataFrame:
     """Sorted by the percent in ``column``, largest first, then by ``ties``; ``Rank``, if there is one, becomes 1..n as text.
 
@@ -52,7 +62,8 @@ def ranked(scores: DataFrame, column: str, *ties: str) -> DataFrame:
         return scores
     order = [percent(F.col(f"`{column}`")).desc(), *[F.col(t) for t in ties]]
     if "Rank" in scores.columns:
-        scores = scores.withColumn("Rank", F.row_number().over(Window.orderBy(*order)).cast("string"))  # one row an experiment and model
+        columns = scores.columns
+        scores = numbered(scores, order, "__rank").withColumn("Rank", F.col("__rank").cast("string")).select(*columns)
     return scores.orderBy(*order)
 
 
