@@ -127,3 +127,13 @@ def test_op1_column_names_of_its_own_are_no_trouble(spark):
     model = language_id.train(docs)
     assert model.langs == ["en"] and corpus_pipeline.language_id.keep_known(docs, model).columns == docs.columns
     assert language_id.train(docs.withColumn("lang", F.lit(None).cast("string"))).langs == []
+
+
+def test_op9_null_ids_equal_the_sql(spark):
+    rng = np.random.default_rng(9)
+    rows = [(None if k % 3 == 0 else k, " ".join(words(k, int(rng.integers(0, 30)))), f"s{k % 4}" if k % 7 else None, None, 0) for k in range(150)]
+    con = duckdb.connect()
+    con.register("documents", pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate([("doc_id", pa.int64()), ("text", pa.string()), ("source", pa.string())])}))
+    wanted = Counter((d, n, s, round(t, 6), taken) for d, n, s, t, taken in con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.SQL})").fetchall())
+    got = mixing.mix(spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, source string").repartition(5)).collect()
+    assert Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in got) == wanted

@@ -20,7 +20,8 @@ Defined results: null text has size 0; sources are ordered by code point with
 null last as a source of its own; sources without words have target 0; a
 document of size 0 takes 0 words (its copies still have positions if its source
 takes any). Rows repeated under one id are separate rows that follow each other
-in the stream. A null doc_id hashes as the empty string.
+in the stream. A null doc_id hashes as the empty string; such rows are dealt into
+buckets by their size.
 """
 
 from __future__ import annotations
@@ -49,6 +50,13 @@ def cycled(values: Sequence[float], rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(float(v)) for v in values]), (F.pmod(rank, F.lit(len(values))) + 1).cast("int"))
 
 
+def bucket() -> Column:
+    """A text that sorts as (place, doc_id, size) do: the first three digits of the place, and rows of null ids, which share one place, by their size."""
+    null_place = F.md5(F.lit(""))
+    part = F.when(F.col("doc_id").isNull(), F.concat(F.lit("1"), F.lpad(F.col("size").cast("string"), 15, "0"))).when(F.col("place") < null_place, F.lit("0")).otherwise(F.lit("2"))
+    return F.concat(F.substring("place", 1, 3), part)
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row a source: source, rank, source_size, target. The windows run over sources, not documents."""
     everything = Window.orderBy(F.col("full"), F.col("rank")).rowsBetween(Window.unboundedPreceding, -1)
@@ -96,7 +104,7 @@ def mix(
     """One row a document: doc_id, size, source_size, target, taken, repeats, positions (one a copy taken, 0..1), and the columns ``keys``."""
     sized = docs.select("doc_id", "source", *keys, words(F.col("text")).alias("size")).withColumn(
         "place", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    ).withColumn("bucket", F.substring("place", 1, 3))
+    ).withColumn("bucket", bucket())
     sized = sized.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
     targets = source_targets(sized, weights, budget, max_epochs).select(
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("source_key"), "rank", "source_size", "target"
