@@ -254,6 +254,10 @@ def test_limits_replay_and_maps(spark):
     assert [r.valid for r in chat.checked(decoded, a).collect()] == [True]
     assert [r.valid for r in chat.checked(decoded, a.withColumn("truth", F.reverse("truth"))).collect()] == [False]
     skeletons = spark.createDataFrame([([("a", "b")], None), ([("a", "b")], "own"), ([("c", "b")], "own"), (None, "bad")], "edges array<struct<from:string,to:string>>, id string").coalesce(1)
+    assert [scores.chosen_limit(t) for t in (None, " ", "0", "-1", "7")] == [None, None, None, None, 7]
+    vectors = spark.createDataFrame([("a", [1.0]), ("b", None)], "text string, v array<double>")
+    assert tuple(providers.embedded_count(vectors).first()) == (2, 1)
+    assert tuple(intents.success_ratio(rows.limit(3), rows.limit(1)).first()) == (4, 3, 75.0) and tuple(intents.success_ratio(rows.limit(0), rows.limit(0)).first()) == (0, 0, 0.0)
     held = {r.skeleton_id: r.edges[0][0] for r in catalog.skeleton_map(skeletons).collect()}
     assert held.pop("own") == "c" and list(held.values()) == ["a"] and next(iter(held)).startswith("skel_")
     packed = spark.createDataFrame([(0, '{"tools": "[{\\"name\\": \\"A\\"}]"}'), (1, '{"name": "B", "description": "1"}')], "ord long, line string")
@@ -307,6 +311,9 @@ def test_files(spark, tmp_path):
     (tmp_path / "rows.json").write_text('[{"a": 1}, {"a": 2}]')
     (tmp_path / "rows.jsonl").write_text('{"a": 1}\n{bad\n{"a": 2}\n')
     assert catalog.json_rows(spark, str(tmp_path / "rows.json"), "a int").count() == catalog.json_rows(spark, str(tmp_path / "rows.jsonl"), "a int").count() == 2
+    with pytest.raises(ValueError):
+        catalog.json_rows(spark, str(tmp_path / "rows.jsonl"), "a int", list_only=True)
+    assert [r.path.rsplit("/", 1)[1] for r in catalog.text_files(spark, str(tmp_path), ignored_dirs=["cp"], ignored_extensions=[".JSON", ".jsonl"]).collect()] == ["done.txt"]
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.jsonl").write_text('{"name": "A"}\n{"name": "A", "description": "2"}\nbad\n')
     query = stream_catalog(spark, str(tmp_path / "in")).writeStream.format("memory").queryName("tools_seen").outputMode("append").trigger(availableNow=True).start()

@@ -73,6 +73,13 @@ def generate_intents(skeletons: DataFrame, tools: DataFrame, template: str, mode
     return parsed_intents(skeletons.join(asked, "sample"))
 
 
+def success_ratio(intents: DataFrame, rejected: DataFrame) -> DataFrame:
+    """One row: asked, made, ratio in percent (0 if nothing was asked)."""
+    both = intents.agg(F.count(F.lit(1)).alias("made")).crossJoin(rejected.agg(F.count(F.lit(1)).alias("lost")))  # one row each
+    asked = F.col("made") + F.col("lost")
+    return both.select(asked.alias("asked"), "made", F.coalesce(F.try_divide(F.col("made") * 100.0, asked), F.lit(0.0)).alias("ratio"))
+
+
 def with_skeletons(intents: DataFrame, skeletons: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Intents joined to the skeleton that their meta names (``skeletons``: with ``skeleton_id``), and those that have none."""
     return intents.join(skeletons, intents["meta.skeleton_id"] == skeletons["skeleton_id"]), intents.join(skeletons, intents["meta.skeleton_id"] == skeletons["skeleton_id"], "left_anti")

@@ -56,6 +56,11 @@ def embedded(rows: DataFrame, text: str, embed: Embedder, batch: int = EMBED_BAT
     return materialize(rows.mapInPandas(run, schema), "embedded")
 
 
+def embedded_count(rows: DataFrame) -> DataFrame:
+    """One row: texts, and how many of them have a vector."""
+    return rows.agg(F.count(F.lit(1)).alias("texts"), F.count("v").alias("embedded"))
+
+
 def replies(rows: DataFrame, prompt: str, model: ChatModel, batch: int = EMBED_BATCH) -> DataFrame:
     """Adds ``reply``: the model's text for each prompt, null where the call failed."""
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, reply string"

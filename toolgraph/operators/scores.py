@@ -44,6 +44,11 @@ def chosen_subsets(text: str | None) -> list[str]:
     return [s.strip() for s in text.split(",") if s.strip()] if text and text.strip() else SUBSETS
 
 
+def chosen_limit(text: str | None) -> int | None:
+    """A row limit from an environment text; none if it is blank or not above 0."""
+    return int(text) if text and text.strip() and int(text) > 0 else None
+
+
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Adds 1..n in the given order: a range sort, and an offset for each of its partitions, so that no task holds all rows."""
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the partition

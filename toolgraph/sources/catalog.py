@@ -78,9 +78,11 @@ def consumer_texts(tools: DataFrame) -> DataFrame:
     return tools.select(F.col("name").alias("consumer"), F.explode("parameters.properties").alias("param", "schema")).select("consumer", "param", F.concat(F.lit("Parameter "), "param", F.lit(": "), said).alias("text"))
 
 
-def json_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Rows of a JSON array or of JSON lines, found out by the first character; bad lines are dropped."""
+def json_rows(spark: SparkSession, path: str, schema: str | None = None, list_only: bool = False) -> DataFrame:
+    """Rows of a JSON array or of JSON lines, found out by the first character; bad lines are dropped. ``list_only``: anything but an array raises."""
     head = spark.read.text(path).filter(F.trim("value") != "").select(F.substring(F.trim("value"), 1, 1).alias("c")).first()
+    if list_only and not (head and head["c"] == "["):
+        raise ValueError(f"{path} holds no JSON array")
     reader = spark.read.option("mode", "DROPMALFORMED")
     reader = reader.schema(schema) if schema else reader
     return reader.option("multiLine", bool(head and head["c"] == "[")).json(path)
@@ -112,11 +114,12 @@ def done_list(spark: SparkSession, path: str, key: str = "subset") -> DataFrame:
     return spark.read.text(path).select(strip("value").alias(key)).filter(F.col(key) != "").distinct()
 
 
-def text_files(spark: SparkSession, path: str, extensions: list[str], ignored_dirs: list[str] = ()) -> DataFrame:
-    """(path, text) of UTF-8 files with one of the extensions (any case), outside the ignored directories."""
+def text_files(spark: SparkSession, path: str, extensions: list[str] | None = None, ignored_dirs: list[str] = (), ignored_extensions: list[str] = ()) -> DataFrame:
+    """(path, text) of UTF-8 files with one of the extensions (any case; None: of any that is not ignored), outside the ignored directories."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     ending = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
-    kept = files.filter(ending.isin([e.lower() for e in extensions]))
+    kept = files if extensions is None else files.filter(ending.isin([e.lower() for e in extensions]))
+    kept = kept.filter(~ending.isin([e.lower() for e in ignored_extensions]))
     for d in ignored_dirs:
         kept = kept.filter(~F.contains("path", F.lit(f"/{d}/")))
     return kept.filter(F.is_valid_utf8("content")).select("path", F.decode("content", "UTF-8").alias("text"))
