@@ -38,6 +38,8 @@ from pyspark.sql import types as T
 from toolgraph.llm.wordsplit import ENCODED_BYTES, ChunkCache, chunks, slices
 
 END_OF_WORD = "</w>"
+#: bytes of text that are encoded and decoded at once
+ROUND_TRIP_BYTES = 1 << 22
 #: token pairs whose compatibility a worker remembers before it starts anew
 PAIR_ENTRIES = 250_000
 
@@ -202,6 +204,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(run, schema)
 
 
+def decoded_texts(table: Vocabulary, packed: list[bytes | None]) -> pa.Array:
+    """Texts of packed ids."""
+    packed = [x or b"" for x in packed]
+    starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int64)
+    text, offsets = table.decode(np.frombuffer(b"".join(packed), dtype="<u4"), starts)
+    return pa.LargeStringArray.from_buffers(len(packed), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text)).cast(pa.string())
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids") -> DataFrame:
     """Adds ``decoded``: the tokens' strings joined by a space, as the library's decode without a decoder gives them."""
     schema = T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())])
@@ -210,17 +220,28 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocabulary(path)
         for batch in slices(batches):
-            packed = [x or b"" for x in batch.column(names.index(ids_col)).to_pylist()]
-            starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int64)
-            text, offsets = table.decode(np.frombuffer(b"".join(packed), dtype="<u4"), starts)
-            strings = pa.LargeStringArray.from_buffers(len(packed), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text)).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, strings], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded_texts(table, batch.column(names.index(ids_col)).to_pylist())], names)
 
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, token_ids, decoded) of every text: :func:`encode` and :func:`decode` in one pass, so that a task has one worker with one vocabulary."""
+    rows = docs.select("doc_id", F.col("text").cast("string"))
+    schema = T.StructType([rows.schema[0], T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary(path))
+        for batch in slices(batches, size=ROUND_TRIP_BYTES):
+            ids = encoder.encode(batch.column(1).to_pylist())
+            n = pc.divide(pc.binary_length(ids).cast(pa.int64()), 4)
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, ids, decoded_texts(encoder.vocabulary, ids.to_pylist())], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),
