@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from toolgraph.llm import bpe, exact_dedup, language_id, lattice_dedup, minhash, mixing, passages, preference, token_blocks, toxicity
+from toolgraph.llm import alignment, bpe, exact_dedup, language_id, lattice_dedup, minhash, mixing, packing, passages, preference, prefix_trie, token_blocks, toxicity
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_minhash": minhash.op8_minhash,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_packing": packing.op11_packing,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLE = {
     "op3_lattice_dedup": lattice_dedup.SQL,
     "op4_preference": preference.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op9_mixing": mixing.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
