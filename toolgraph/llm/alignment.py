@@ -41,7 +41,7 @@ from toolgraph.llm.cuts import ByteLevel, Library, Pieces, blocks as text_blocks
 from toolgraph.scratch import materialize
 
 #: bytes of text in a block
-BLOCK_BYTES = 3 << 22
+BLOCK_BYTES = 3 << 21
 #: a pair of ids as one number
 SIDE_BITS = 20
 #: what stands behind an id: between ids of a side, sides, groups, and at a chunk's end
@@ -133,6 +133,8 @@ def aligned_block(texts: list[str | None], a: Library, b: Library) -> tuple[Bloc
         a_ids, b_ids = gathered(a_ids, a_sizes, used)[0], gathered(b_ids, b_sizes, used)[0]
         a_sizes, b_sizes = a_sizes[used], b_sizes[used]
 
+    del distinct, good
+    pa.default_memory_pool().release_unused()
     con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""})
     for name, sizes, ids, width in (("a", a_sizes, a_ids, a.width_of), ("b", b_sizes, b_ids, b.width_of)):
         own = width[ids]
