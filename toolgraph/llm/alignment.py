@@ -41,7 +41,7 @@ from toolgraph.llm.cuts import ByteLevel, Library, Pieces, blocks as text_blocks
 from toolgraph.scratch import materialize
 
 #: bytes of text in a block
-BLOCK_BYTES = 3 << 21
+BLOCK_BYTES = 3 << 20
 #: a pair of ids as one number
 SIDE_BITS = 20
 #: what stands behind an id: between ids of a side, sides, groups, and at a chunk's end
