@@ -142,8 +142,9 @@ def brute_alignment(texts):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [500, 1 << 20])
-def test_alignment_equals_brute_force(spark, sf_dir, block_bytes):
+@pytest.mark.parametrize("block_bytes, broadcast", [(500, 0), (1 << 20, 1 << 20)])
+def test_alignment_equals_brute_force(spark, sf_dir, block_bytes, broadcast, monkeypatch):
+    monkeypatch.setattr(alignment, "BROADCAST_PAIRS", broadcast)
     texts = [t[:3000] for t in odd_texts(120)] + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").filter("n_chars < 900").collect()][:60] + [None, None]
     docs = spark.createDataFrame([(k if k % 50 else None, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, pairs string").repartition(3)
     found = sorted(tuple(r)[1:] for r in alignment.align(docs, BYTES, PIECES, block_bytes).collect())

@@ -7,9 +7,9 @@ one axis of bytes; ASOF joins pair each token with the token of the other side
 that covers its start, and a range condition keeps the overlaps, without a
 quadratic join; window sums over shared starts number the groups. The block then counts, for each pair of
 ids, in how many of its documents the pair is linked. Spark merges these partial
-counts, finds each A id's highest, and gives every block the counts of its own
-pairs back; blocks and counts meet by block, so nothing is broadcast and no pair,
-however common, is more than one row a block.
+counts and finds each A id's highest. At most ``BROADCAST_PAIRS`` pairs go to all
+tasks; if there are more, every block gets the counts of its own pairs by a join,
+in which no pair, however common, is more than one row a block.
 
 Between the two steps a block is kept as compressed arrays: which chunk stands
 where, and the chunks' ids, groups and links.
@@ -38,10 +38,14 @@ from pyspark.sql import types as T
 
 from toolgraph.llm.bpe import byte_symbols
 from toolgraph.llm.cuts import ByteLevel, Library, Pieces, blocks as text_blocks, buffers, cut, gathered
-from toolgraph.scratch import materialize
+from toolgraph.scratch import materialize, new_path
 
 #: bytes of text in a block
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 3 << 21
+#: pairs whose counts are broadcast, at most (17 bytes each); more are joined to the blocks that hold them
+BROADCAST_PAIRS = 1 << 20
+#: bytes of a row group of blocks: a task holds one while it writes and one while it reads
+ROW_GROUP = 1 << 23
 #: a pair of ids as one number
 SIDE_BITS = 20
 #: what stands behind an id: between ids of a side, sides, groups, and at a chunk's end
@@ -221,10 +225,8 @@ def corpus_counts(blocks: DataFrame) -> DataFrame:
     return counts.withColumn("best", F.col("count") == F.max("count").over(of_a))
 
 
-def aligned_documents(block: Block, doc_ids: pa.Array, counts: pa.Table, ids: int) -> Iterator[list[pa.Array]]:
-    """Columns of some of a block's documents at a time. ``counts``: of the block's pairs."""
-    order = np.argsort(counts.column("pair").to_numpy())
-    count, best = (counts.column(c).to_numpy()[order] for c in ("count", "best"))
+def aligned_documents(block: Block, doc_ids: pa.Array, count: np.ndarray, best: np.ndarray, ids: int) -> Iterator[list[pa.Array]]:
+    """Columns of some of a block's documents at a time. ``count`` and ``best``: of the block's pairs, in their order."""
     chunks, n = len(block.a_sizes), block.link_n
     of_chunk = lambda weight: np.diff(np.concatenate([[0], np.cumsum(weight)])[np.searchsorted(block.link_chunk, np.arange(chunks + 1))])
     group_of_chunk = np.append(block.a_groups, 0)[np.cumsum(block.a_sizes) - 1]  # the last group so far
@@ -240,20 +242,41 @@ def aligned_documents(block: Block, doc_ids: pa.Array, counts: pa.Table, ids: in
 
 def align(docs: DataFrame, a_path: str, b_path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row a document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups (text)."""
-    blocks = materialize(encoded_blocks(docs, a_path, b_path, block_bytes), "token-blocks")
+    spark = docs.sparkSession
+    path = new_path(spark, "token-blocks")
+    rows = encoded_blocks(docs, a_path, b_path, block_bytes)
+    rows.write.option("parquet.block.size", ROW_GROUP).option("compression", "uncompressed").parquet(path)  # payloads are compressed
+    blocks = spark.read.schema(rows.schema).parquet(path)
     counts = materialize(corpus_counts(blocks), "pair-counts")
-    own = blocks.select(F.col("block").alias("of_block"), F.explode("pairs").alias("pair")).join(counts, "pair")
     longs = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    doc_id = blocks.schema["doc_ids"].dataType.elementType
-    schema = T.StructType([T.StructField("doc_id", doc_id), *[T.StructField(c, T.LongType()) for c in longs], T.StructField("groups", T.StringType())])
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_ids"].dataType.elementType), *[T.StructField(c, T.LongType()) for c in longs], T.StructField("groups", T.StringType())])
+    ids = max(len(x.width_of) for x in libraries(a_path, b_path))
+
+    def documents(doc_ids: pa.Array, payload: bytes, count: np.ndarray, best: np.ndarray) -> list[pa.RecordBatch]:
+        kinds = [doc_ids.type, *[pa.int64()] * len(longs), pa.string()]
+        out = pa.schema(list(zip(schema.names, kinds, strict=True)))
+        return [pa.RecordBatch.from_arrays(p, schema=out) for p in aligned_documents(unpacked(payload), doc_ids, count, best, ids)]
+
+    if counts.count() <= BROADCAST_PAIRS:
+        few = counts.orderBy("pair").toPandas()
+        shared = spark.sparkContext.broadcast((few["pair"].to_numpy(np.int64), few["count"].to_numpy(np.int64), few["best"].to_numpy(bool)))
 
-    def run(payload: pa.Table, counts: pa.Table) -> pa.Table:
-        kinds = [payload.schema.field("doc_ids").type.value_type, *[pa.int64()] * len(longs), pa.string()]
-        doc_ids = payload.column("doc_ids").combine_chunks().flatten()
-        parts = aligned_documents(unpacked(payload.column("payload")[0].as_py()), doc_ids, counts, max(len(x.width_of) for x in libraries(a_path, b_path)))
-        return pa.Table.from_batches([pa.RecordBatch.from_arrays(p, schema.names) for p in parts], pa.schema(list(zip(schema.names, kinds, strict=True))))
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pair, count, best = shared.value
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    at = np.searchsorted(pair, batch.column(2)[k].values.to_numpy())
+                    yield from documents(batch.column(0)[k].values, batch.column(1)[k].as_py(), count[at], best[at])
 
-    return blocks.select("block", "doc_ids", "payload").groupBy("block").cogroup(own.groupBy("of_block")).applyInArrow(run, schema)
+        return blocks.select("doc_ids", "payload", "pairs").mapInArrow(alone, schema)
+
+    def joined(own: pa.Table, counts: pa.Table) -> pa.Table:
+        counts = counts.sort_by("pair")
+        parts = documents(own.column("doc_ids")[0].values, own.column("payload")[0].as_py(), counts.column("count").to_numpy(), counts.column("best").to_numpy())
+        return pa.Table.from_batches(parts)
+
+    own = blocks.select(F.col("block").alias("of_block"), F.explode("pairs").alias("pair")).join(counts, "pair")
+    return blocks.select("block", "doc_ids", "payload").groupBy("block").cogroup(own.groupBy("of_block")).applyInArrow(joined, schema)
 
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
