@@ -155,7 +155,7 @@ def test_provider_and_intent_rules(spark):
     nodes = tools.select("name", "description", "category")
     made = sampling.format_skeletons(walk, nodes, edges=spark.createDataFrame([("A->B:p", "p")], "key string, parameter string"))
     prompt = intents.prompts(made, tools, "{tools}|{flow}").first().prompt
-    assert prompt.startswith('{"name":"A"') and prompt.endswith("|Step 1: A -> B\n   (Passes output to parameter: 'p')")
+    assert prompt.startswith('{"name":"A"') and prompt.endswith("|Step 1: A -> B\n   fills p")
     reply = lambda state: lambda texts: [json.dumps({"query": "q", "initial_state": state, "final_state": {}}) for _ in texts] if not isinstance(state.get("a"), list) else ["{" for _ in texts]
     good, bad = intents.generate_intents(made, tools, "{tools}{flow}", lambda texts: ['{"query": "q", "scenario_summary": "s"}' for _ in texts])
     assert good.first().available_tools == ["A", "B"] and bad.count() == 0
@@ -184,7 +184,7 @@ def test_sampled_skeletons(spark):
         if mode == "neighborhood":  # the place of a node does not tell its role
             assert any([x.role for x in r.nodes] != sorted(x.role for x in r.nodes) for r in rows)
         prompt = intents.prompts(made, tools, "{tools}|{flow}").first().prompt
-        assert "Passes output to parameter: 'p" in prompt and prompt.startswith('{"name":"t')
+        assert "\n   fills p" in prompt and prompt.startswith('{"name":"t')
         assert cover.node_visits.agg(F.sum("visits")).first()[0] >= 6
     assert sampling.sample_skeletons(nodes, edges, "unheard", 6)[0].count() == 0
 
@@ -209,7 +209,7 @@ def test_graph_build(spark, tmp_path):
     def model(texts):
         def one(t):
             if t.startswith("- Producer"):
-                return json.dumps({"valid": "Producer Tool: ip\n  - Description: address" in t and "Fill: 'ip'\n  - Parameter Description: address" in t})
+                return json.dumps({"valid": "First tool: ip (address)" in t and "Input: ip (address)" in t})
             if t.startswith("["):
                 return json.dumps({"Net Tools": "Network"})
             assert "Finance" in t and "- Name: " in t

@@ -24,7 +24,7 @@ def flow_text(edges: Column | str) -> Column:
     has = lambda e: F.coalesce(e["parameter"] != "", F.lit(False))
     line = lambda e: F.concat(
         F.lit("Step "), e["step"].cast("string"), F.lit(": "), e["from"], F.lit(" -> "), e["to"],
-        F.when(has(e), F.concat(F.lit("\n   (Passes output to parameter: '"), e["parameter"], F.lit("')"))).otherwise(F.lit("")),
+        F.when(has(e), F.concat(F.lit("\n   fills "), e["parameter"])).otherwise(F.lit("")),
     )
     return F.array_join(F.transform(ordered, line), "\n")
 
@@ -50,6 +50,17 @@ def flat_scalars(state: Column) -> Column:
     return F.forall(F.map_values(state), lambda v: v.isNotNull() & ~F.is_variant_null(v) & ~kind(v).startswith("OBJECT") & ~kind(v).startswith("ARRAY"))
 
 
+def grounded(query: Column, state: Column, chained: Column) -> Column:
+    """How an initial state (map<string, variant>) fits its query: struct of ``said`` (each value is a scalar whose text stands in the query) and ``unchained`` (no key is a parameter that an earlier tool fills).
+
+    An empty state is both. A null value, or one that is no scalar, is not said. A null query says nothing; null ``chained`` has no parameters.
+    """
+    text = lambda v: F.when(~F.schema_of_variant(v).rlike("^(OBJECT|ARRAY|VOID)"), F.try_variant_get(v, "$", "string"))
+    said = F.forall(F.map_values(state), lambda v: F.coalesce(F.contains(query, text(v)), F.lit(False)))
+    unchained = ~F.arrays_overlap(F.map_keys(state), F.coalesce(chained, F.array().cast("array<string>")))
+    return F.struct(said.alias("said"), F.coalesce(unchained, F.lit(True)).alias("unchained"))
+
+
 def parsed_intents(answered: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Intents, and the rejected rows (sample, reason). ``answered``: skeletons with ``reply``."""
     value = F.try_parse_json(first_json("reply"))

@@ -1,12 +1,15 @@
 """Model calls as pluggable providers: embedding, edge verification, categories. Calls run once, inside tasks, and are written down.
 
 A provider is a picklable callable. What it returned is materialised before
-anything else uses it, so a retry or a second action never calls it again.
+anything else uses it, so a retry or a second action never calls it again. A task
+has several calls in flight (:mod:`toolgraph.operators.calls`); embeddings of
+earlier builds can be kept (:mod:`toolgraph.sources.vector_cache`).
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolgraph.functions.text import first_json, title
+from toolgraph.operators.calls import Patience, in_flight
 from toolgraph.scratch import materialize
 
 EMBED_BATCH = 64
@@ -30,27 +34,34 @@ ChatModel = Callable[[list[str]], list[str]]
 
 
 def stub_embedder(dim: int = 16) -> Embedder:
-    """Deterministic vectors from a hash of the text, for tests."""
+    """Deterministic vectors of up to 16 numbers, the bytes of the text's md5, for tests."""
 
     def embed(texts: list[str]) -> list[list[float]]:
-        return [(np.frombuffer(hashlib.sha512(t.encode()).digest()[:dim], np.uint8) / 127.5 - 1).tolist() for t in texts]
+        return [(np.frombuffer(hashlib.md5(t.encode()).digest()[:dim], np.uint8) / 127.5 - 1).tolist() for t in texts]
 
     return embed
 
 
-def embedded(rows: DataFrame, text: str, embed: Embedder, batch: int = EMBED_BATCH) -> DataFrame:
-    """Adds ``v``: a vector for each text, ``batch`` texts a call. A call that fails gives nulls for its whole batch."""
+def asked_in_batches(call: Callable[[list[str]], list], texts: list[str], batch: int, patience: Patience) -> list:
+    """One result a text, ``batch`` texts a call; a call that fails, or answers with another number of results, gives nulls for its batch."""
+    groups = [texts[at : at + batch] for at in range(0, len(texts), batch)]
+
+    def sized(group: list[str]) -> list:
+        found = list(call(group))
+        if len(found) != len(group):
+            raise ValueError("not one result a text")
+        return found
+
+    return list(chain.from_iterable(found if found is not None else [None] * len(group) for group, found in zip(groups, in_flight(sized, groups, patience), strict=True)))
+
+
+def embedded(rows: DataFrame, text: str, embed: Embedder, batch: int = EMBED_BATCH, patience: Patience = Patience()) -> DataFrame:
+    """Adds ``v``: a vector for each text, ``batch`` texts a call, several calls at once. A call that keeps failing gives nulls for its whole batch."""
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, v array<double>"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            vectors: list = []
-            for at in range(0, len(frame), batch):
-                texts = frame[text].iloc[at : at + batch].fillna("").tolist()
-                try:
-                    vectors += [list(map(float, v)) for v in embed(texts)]
-                except Exception:  # a provider may fail in any way; its batch has no vectors
-                    vectors += [None] * len(texts)
+            vectors = asked_in_batches(lambda texts: [list(map(float, v)) for v in embed(texts)], frame[text].fillna("").tolist(), batch, patience)
             yield frame.assign(v=vectors)
 
     return materialize(rows.mapInPandas(run, schema), "embedded")
@@ -61,20 +72,13 @@ def embedded_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("texts"), F.count("v").alias("embedded"))
 
 
-def replies(rows: DataFrame, prompt: str, model: ChatModel, batch: int = EMBED_BATCH) -> DataFrame:
-    """Adds ``reply``: the model's text for each prompt, null where the call failed."""
+def replies(rows: DataFrame, prompt: str, model: ChatModel, batch: int = 1, patience: Patience = Patience()) -> DataFrame:
+    """Adds ``reply``: the model's text for each prompt, null where the call kept failing or took too long. ``patience.window`` calls of ``batch`` prompts are in flight in a task."""
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, reply string"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out: list[str | None] = []
-            for at in range(0, len(frame), batch):
-                texts = frame[prompt].iloc[at : at + batch].fillna("").tolist()
-                try:
-                    out += model(texts)
-                except Exception:  # as above
-                    out += [None] * len(texts)
-            yield frame.assign(reply=out)
+            yield frame.assign(reply=asked_in_batches(model, frame[prompt].fillna("").tolist(), batch, patience))
 
     return materialize(rows.mapInPandas(run, schema), "replies")
 
@@ -99,8 +103,8 @@ def verification_prompts(candidates: DataFrame, tools: DataFrame) -> DataFrame:
     consumers = known.select(F.col("name").alias("consumer"), F.col("properties").alias("__properties"))
     about = F.coalesce(F.get_json_object(F.try_element_at("__properties", F.col("param").cast("string")), "$.description"), F.lit(""))
     text = F.concat(
-        F.lit("- Producer Tool: "), F.col("producer").cast("string"), F.lit("\n  - Description: "), F.coalesce("__p", F.lit("")), F.lit("\n- Consumer Tool: "), F.col("consumer").cast("string"),
-        F.lit("\n- Consumer Parameter to Fill: '"), F.col("param").cast("string"), F.lit("'\n  - Parameter Description: "), about,
+        F.lit("Can what the first tool returns be used as the given input of the second? Answer with a JSON object whose only field, valid, is true or false.\nFirst tool: "), F.col("producer").cast("string"),
+        F.lit(" ("), F.coalesce("__p", F.lit("")), F.lit(")\nSecond tool: "), F.col("consumer").cast("string"), F.lit("\nInput: "), F.col("param").cast("string"), F.lit(" ("), about, F.lit(")"),
     )
     return candidates.join(producers, "producer", "left").join(consumers, "consumer", "left").select(*candidates.columns, text.alias("prompt"))
 
@@ -119,7 +123,7 @@ def categorised_in_rounds(tools: DataFrame, model: ChatModel, rounds: int = 8) -
     Tools that a round's model call left general are not asked again. The list of categories in a prompt is the pool.
     """
     columns = tools.columns
-    shown = F.concat(F.lit("\n- Name: "), "name", F.lit("\n- Desc: "), F.coalesce("description", F.lit("")), F.lit("\n- Parm: "), F.coalesce(F.col("parameters") if tools.schema["parameters"].dataType.typeName() == "string" else F.to_json("parameters"), F.lit("")))
+    shown = F.concat(F.lit("\nTool: "), "name", F.lit("\nWhat it does: "), F.coalesce("description", F.lit("")), F.lit("\nInputs: "), F.coalesce(F.col("parameters") if tools.schema["parameters"].dataType.typeName() == "string" else F.to_json("parameters"), F.lit("")))
     left = tools.withColumn("__round", F.when(F.col("category") == GENERAL, F.pmod(F.xxhash64("name"), F.lit(rounds))).otherwise(-1))
     done = left.filter("__round = -1 OR category IS NULL").select(*columns)
     for k in range(rounds):

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from toolgraph.functions import policy, text
 from toolgraph.functions.hashing import intent_id, json_string
-from toolgraph.operators import chat, providers, scores, simulation
+from toolgraph.operators import chat, intents, providers, scores, simulation, subsample, template_tokens
 from toolgraph.plans.graph_queries import table
+from toolgraph.scratch import new_path
 from toolgraph.sources import catalog
 
 
@@ -186,9 +187,48 @@ def category_pool(spark, sf_dir):
 
 
 def embedded_tools(spark, sf_dir):
-    """Vectors of a deterministic stub provider for every tool text."""
+    """Vectors of a deterministic stub provider for every tool text, written as bytes."""
     found = providers.embedded(tool_texts(spark, sf_dir), "text", providers.stub_embedder(8))
-    return found.select("name", "param", F.size("v").alias("dims"))
+    return found.select("name", "param", F.array_join(F.transform("v", lambda x: F.round((x + 1) * 127.5).cast("int").cast("string")), ",").alias("v"))
+
+
+def exact_subsample(spark, sf_dir):
+    """500 documents of all, drawn by a hash of their id."""
+    drawn = subsample.exactly(table(spark, sf_dir, "documents"), "doc_id", 500)
+    return drawn.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+def load_counts(spark, sf_dir):
+    """Parts written as JSON lines, some of them cut and some followed by a blank line, loaded as a catalogue: what the load saw."""
+    tool = F.to_json(F.struct(F.concat_ws("_", "p_brand", "p_type").alias("name"), F.col("p_name").alias("description")))
+    line = F.when(F.col("p_partkey") % 7 == 0, F.substring(tool, 1, 20)).otherwise(tool)
+    lines = table(spark, sf_dir, "part").select(F.explode(F.when(F.col("p_partkey") % 50 == 0, F.array(line, F.lit("  "))).otherwise(F.array(line))).alias("line"))
+    path = new_path(spark, "catalogue-lines")
+    lines.write.text(path)
+    _, seen = catalog.load_catalog(spark, path)
+    return spark.createDataFrame([seen], ", ".join(f"{k} long" for k in ("lines", "blank", "unreadable", "records", "tools")))
+
+
+def grounded_states(spark, sf_dir):
+    """For each conversation a state of a word of its first turn, a digit of its id and, for some, a word from elsewhere; the digit is a chained parameter of odd ones."""
+    first = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("query"))
+    word = F.regexp_extract("query", r"[A-Za-z]+", 0)
+    state = F.concat(F.lit('{"word": "'), word, F.lit('", "digit": '), (F.col("conv_id") % 10).cast("string"), F.when(F.col("conv_id") % 3 == 0, F.lit(', "city": "Xyzzy", "more": [1]')).otherwise(F.lit("")), F.lit("}"))
+    chained = F.when(F.col("conv_id") % 2 == 1, F.array(F.lit("digit")))
+    held = F.when(F.col("conv_id") % 5 == 0, F.concat("query", F.lit(" "), (F.col("conv_id") % 10).cast("string"))).otherwise(F.col("query"))
+    fits = intents.grounded(held, F.try_parse_json(state).cast("map<string,variant>"), chained)
+    return first.select("conv_id", fits["said"].alias("said"), fits["unchained"].alias("unchained"))
+
+
+def template_token_counts(spark, sf_dir):
+    """Conversations as JSON text: plain, nested in one more array, without roles (the template fails), and cut (no JSON)."""
+    turn = F.struct("turn", F.col("role"), F.col("text").alias("content"))
+    gathered = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    plain = F.to_json("turns")
+    bare = F.to_json(F.transform("turns", lambda t: F.struct(t["content"].alias("content"))))
+    kind = F.col("conv_id") % 4
+    text_ = F.when(kind == 0, plain).when(kind == 1, F.concat(F.lit("["), plain, F.lit("]"))).when(kind == 2, bare).otherwise(F.substring(plain, 1, 15))
+    return gathered.select("conv_id", template_tokens.template_tokens(text_).alias("n_tokens"))
 
 
 def echo_user(query, memory):
@@ -215,7 +255,7 @@ def simulated_chats(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     chat_rows, role_names, conv_tokens, conv_longest, turns_json_length, doc_lengths, doc_argmax, length_histogram, think_insert, json_props, first_json, fence_strip,
     title_words, pct_rank, score_normalise, accuracy, resume_anti, truth_align, advantage, kl_policy, intent_ids, catalog_tools, catalog_last, tool_texts,
-    function_tools, consolidated_categories, category_pool, embedded_tools, simulated_chats,
+    function_tools, consolidated_categories, category_pool, embedded_tools, simulated_chats, exact_subsample, load_counts, grounded_states, template_token_counts,
 )}
 
 ROLE_SQL = "CASE role WHEN 'user' THEN 'user' WHEN 'assistant' THEN 'assistant' ELSE role END"
@@ -266,7 +306,15 @@ SELECT user_id, round(sum(total * mask) / nullif(sum(mask), 0), 6) AS loss FROM
     "consolidated_categories": """WITH m AS (SELECT p_type AS raw, min(p_brand) AS master FROM part WHERE p_type LIKE '%STEEL%' OR p_type LIKE '%steel%' GROUP BY 1)
 SELECT p_partkey AS name, coalesce(master, p_type) AS category FROM part LEFT JOIN m ON raw = p_type""",
     "category_pool": f"SELECT DISTINCT category FROM (SELECT p_type AS category FROM part UNION ALL SELECT unnest({providers.CATEGORY_POOL}))",
-    "embedded_tools": f"WITH {TOOLS} SELECT name, '' AS param, CAST(8 AS INT) AS dims FROM f UNION ALL SELECT name, 'size', 8 FROM f",
+    "embedded_tools": f"""WITH {TOOLS}, t AS (SELECT name, '' AS param, name || ': ' || description AS text FROM f UNION ALL SELECT name, 'size', 'Parameter size: size ' || p_size FROM f)
+SELECT name, param, array_to_string(list_transform(range(8), lambda k: CAST(('0x' || substr(md5(text), CAST(2 * k + 1 AS INT), 2)) AS INT)), ',') AS v FROM t""",
+    "exact_subsample": "SELECT doc_id, md5(text) AS text_md5 FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)) LIMIT 500",
+    "load_counts": """SELECT count(*) + count(*) FILTER (p_partkey % 50 = 0) AS lines, count(*) FILTER (p_partkey % 50 = 0) AS blank, count(*) FILTER (p_partkey % 7 = 0) AS unreadable,
+count(*) FILTER (p_partkey % 7 <> 0) AS records, count(DISTINCT p_brand || '_' || p_type) FILTER (p_partkey % 7 <> 0) AS tools FROM part""",
+    "grounded_states": r"""WITH f AS (SELECT conv_id, arg_min(text, turn) AS query FROM conversations GROUP BY 1)
+SELECT conv_id, contains(query, regexp_extract(query, '[A-Za-z]+')) AND conv_id % 3 <> 0 AND (conv_id % 5 = 0 OR contains(query, CAST(conv_id % 10 AS VARCHAR))) AS said, conv_id % 2 = 0 AS unchained FROM f""",
+    "template_token_counts": r"""WITH g AS (SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS whole, string_agg(text, '' ORDER BY turn) AS bare FROM conversations GROUP BY 1)
+SELECT conv_id, CAST(CASE conv_id % 4 WHEN 3 THEN 0 WHEN 2 THEN len(regexp_extract_all(bare, '\S+')) ELSE len(regexp_extract_all(whole, '\S+')) END AS BIGINT) AS n_tokens FROM g""",
     "simulated_chats": """WITH q AS (SELECT conv_id, arg_min(text, turn) AS query FROM conversations WHERE role = 'user' GROUP BY 1)
 SELECT conv_id, 'user' || chr(9) || query || chr(10) || 'assistant' || chr(9) || chr(10) || 'tool' || chr(9) || '{"tool": "search"}' || chr(10) || 'assistant' || chr(9) || 'done: {"tool": "search"}'
  || chr(10) || 'user' || chr(9) || 'go on' || chr(10) || 'assistant' || chr(9) || chr(10) || 'tool' || chr(9) || '{"tool": "search"}' || chr(10) || 'assistant' || chr(9) || 'done: {"tool": "search"}' AS chat FROM q""",

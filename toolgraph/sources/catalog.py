@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from toolgraph.functions.hashing import skeleton_id
 from toolgraph.functions.text import strip
+from toolgraph.scratch import materialize
 
 PARAMETERS = "struct<type:string,properties:map<string,variant>,required:array<string>>"
 
@@ -16,18 +17,22 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
 
 
-def tool_entries(lines: DataFrame, unpack: bool = True) -> DataFrame:
+def tool_entries(lines: DataFrame, unpack: bool = True, observation: Observation | None = None) -> DataFrame:
     """(ord, pos, n, name, description, parameters, sound): the tools of each JSON line, before dedup.
 
     A string ``tools`` is a JSON array of tools, otherwise the row is the tool; each may stand in a ``function``
     envelope. Absent description and parameters become empty, but a null one makes the entry unsound, as does no name.
-    Lines that are no JSON, or whose ``tools`` text is none, have no entries. Without ``unpack`` every row is a tool.
+    Lines that are no JSON, or whose ``tools`` text is none, have no entries. Without ``unpack`` every row is a tool. ``observation`` gets the counts lines, blank and unreadable.
     """
     row = F.try_parse_json("line")
     packed = F.try_variant_get("row", "$.tools", "string")
     is_packed = F.coalesce(F.schema_of_variant(F.try_variant_get("row", "$.tools", "variant")) == "STRING", F.lit(False))
     listed = F.when(is_packed & F.lit(unpack), F.try_parse_json(packed).try_cast("array<variant>")).otherwise(F.array("row"))
-    rows = lines.withColumn("row", row).filter("row IS NOT NULL").withColumn("list", listed)
+    rows = lines.withColumn("row", row)
+    if observation:
+        blank = F.trim("line") == ""
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("lines"), F.count_if(blank).alias("blank"), F.count_if(~blank & F.col("row").isNull()).alias("unreadable"))
+    rows = rows.filter("row IS NOT NULL").withColumn("list", listed)
     found = rows.select("ord", F.size("list").alias("n"), F.posexplode("list").alias("pos", "entry"))
     body = F.coalesce(F.try_variant_get("entry", "$.function", "variant"), F.col("entry"))
     found = found.withColumn("body", body)
@@ -53,7 +58,23 @@ def catalog(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     Within a line, tools up to the first unsound one register; a line with an unsound tool is not counted. Every tool
     starts in the category ``general``.
     """
-    entries = tool_entries(lines)
+    return catalog_of(tool_entries(lines))
+
+
+def load_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """The tools of :func:`catalog` in the files at ``path``, and what the load saw: lines, blank, unreadable, records (lines that were counted), tools.
+
+    Files are read and parsed once; lines are counted in that pass.
+    """
+    seen = Observation("load")
+    entries = materialize(tool_entries(numbered_lines(spark, path), observation=seen), "tool-entries")
+    tools, counted = catalog_of(entries)
+    tools = materialize(tools, "tools")
+    return tools, seen.get | {"records": counted.filter("counted").count(), "tools": tools.count()}
+
+
+def catalog_of(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`catalog` of what :func:`tool_entries` found."""
     broken = entries.filter("NOT sound").groupBy("ord").agg(F.min("pos").alias("bad"))
     usable = entries.join(broken, "ord", "left").filter("bad IS NULL OR pos < bad")
     first = usable.groupBy("name").agg(F.min_by(F.struct("ord", "pos", "description", "parameters"), F.struct("ord", "pos")).alias("t"))
