@@ -2,7 +2,9 @@
 
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import DOCS, words
@@ -61,3 +63,27 @@ def test_pipeline_mix_gives_each_row_its_own_places(spark, repeated):
     for (d, t), n in mixed.items():
         got[d, size[t]] += n
     assert got == Counter({k: n for k, n in taken.items() if n})
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_near_dedup_of_ids_that_are_not_nullable_or_are_text(spark, kind):
+    texts = [" ".join(words(k % 7, 90)) + (" tail" if k > 13 else "") for k in range(21)]
+    ids = spark.range(21).select(F.col("id").cast(kind).alias("doc_id"), F.get(F.array(*map(F.lit, texts)), F.col("id").cast("int")).alias("text"))
+    found = {r.doc_id: r.class_id for r in minhash.near_duplicate_classes(ids).collect()}
+    group = lambda k: min((str(x) if kind == "string" else x) for x in range(21) if x % 7 == k % 7)
+    assert found == {(str(k) if kind == "string" else k): group(k) for k in range(21)}
+
+
+def test_a_language_under_one_id_is_learned(spark, sf_dir):
+    known = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(8)
+    odd = [(1, " ".join("".join(rng.choice(list("qxzjkw"), 5)) for _ in range(30)), "xx") for _ in range(3000)]
+    copies = [(1, "жжж щщщ ъъъ " * 9, "yy")] * 3000
+    docs = known.unionByName(spark.createDataFrame(odd + copies, "doc_id long, text string, lang string"))
+    held = docs.filter("lang IN ('xx', 'yy')").filter(~language_id.held_out())
+    if held.isEmpty():  # the id is one of those that never train
+        docs = docs.withColumn("doc_id", F.when(F.col("lang").isin("xx", "yy"), F.col("doc_id") + 1).otherwise(F.col("doc_id")))
+    identifier = language_id.train(docs)
+    assert {"xx", "yy"} <= set(identifier.langs)
+    mine = language_id.identify(docs.filter("lang IN ('xx', 'yy')").dropDuplicates(["text"]).withColumn("doc_id", F.monotonically_increasing_id()), identifier)
+    assert {r.lang_pred for r in mine.collect()} == {"xx", "yy"}

@@ -163,12 +163,15 @@ def with_shared(docs: DataFrame, shared: DataFrame, blocks: int, work: Callable[
     if chosen:
         side = shared.withColumn("wanted", F.lit(None).cast(docs.schema["doc_id"].dataType)).unionByName(only.select(block_of(blocks), F.col("doc_id").alias("wanted")), allowMissingColumns=True)
 
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])  # nullable, as Arrow's arrays are
+    kinds = to_arrow_schema(schema)
+
     def run(own: pa.Table, known: pa.Table) -> pa.Table:
         rows = known.filter(pc.is_valid(known["shingles"]))
         frequencies = Shared([x.as_py() for x in rows["shingles"]], [x.as_py() for x in rows["held"]])
         own = own.select(["doc_id", "text"])
         if chosen:
             own = own.filter(pc.is_in(own["doc_id"], value_set=known["wanted"].combine_chunks().drop_null()))
-        return pa.Table.from_batches([out for batch in slices(own.to_batches(), ROWS_AT_ONCE) if batch.num_rows for out in work(batch, frequencies)], to_arrow_schema(schema))
+        return pa.Table.from_batches([out for batch in slices(own.to_batches(), ROWS_AT_ONCE) if batch.num_rows for out in work(batch, frequencies)], kinds)
 
     return docs.select("doc_id", "text", block_of(blocks)).groupBy("block").cogroup(side.groupBy("block")).applyInArrow(run, schema)

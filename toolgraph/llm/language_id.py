@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Training: a bounded sample of documents a language (``SAMPLE_DOCS`` by hash of
-doc_id; whole texts) is cut into character n-grams, which Spark counts by
+id and text; whole texts) is cut into character n-grams, which Spark counts by
 language and n-gram. From the counts one task a language builds a model of order
 ``ORDER``: continuation counts below the top order, one absolute discount an
 order (from the numbers of n-grams seen once and twice), lower orders
@@ -236,12 +236,16 @@ def held_out() -> Column:
 
 
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS) -> DataFrame:
-    """(lang, text, part) of about ``per_lang`` documents a language, chosen by a hash of their id; part 0 calibrates."""
-    known = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out())
-    chance = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(per_lang) / F.count(F.lit(1))).alias("chance"))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
-    part = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(5)).cast("int")
-    return known.withColumn("draw", draw).join(F.broadcast(chance), "lang").filter("draw < chance").select("lang", "text", part.alias("part"))
+    """(lang, text, part) of about ``per_lang`` different documents a language, chosen by a hash of their id and text; part 0 calibrates.
+
+    A language with up to ``per_lang`` different documents gives all of them, so none is lost, whatever ids they have.
+    """
+    known = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out()).withColumn("print", F.xxhash64("text"))
+    chance = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(per_lang) / F.count_distinct("doc_id", "print")).alias("chance"))
+    draw = F.pmod(F.xxhash64("doc_id", "print", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    part = F.pmod(F.xxhash64("doc_id", "print", F.lit(2)), F.lit(5)).cast("int")
+    drawn = known.withColumn("draw", draw).join(F.broadcast(chance), "lang").filter("draw < chance")
+    return drawn.dropDuplicates(["lang", "doc_id", "print"]).select("lang", "text", part.alias("part"))
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, order: int = ORDER) -> Identifier:

@@ -265,8 +265,8 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: floa
     central = materialize(banded.join(held, "bucket").groupBy("doc_id").agg(F.sum("held").alias("central")), "central")
     rows = materialize(banded.join(held, "bucket").join(central, "doc_id").select("bucket", "doc_id", "central"), "buckets")
     drop(spark, banded, held, central)
-    top = F.max(F.struct("central", (-F.col("doc_id")).alias("low"))).alias("top")
-    leaders = materialize(rows.groupBy("bucket").agg(top).select("bucket", (-F.col("top.low")).alias("leader")), "leaders")
+    least = F.min(F.struct((-F.col("central")).alias("central"), "doc_id")).alias("least")  # ids of any type that sorts
+    leaders = materialize(rows.groupBy("bucket").agg(least).select("bucket", F.col("least.doc_id").alias("leader")), "leaders")
     pairs = materialize(
         rows.join(leaders, "bucket").filter("doc_id <> leader").select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct(),
         "pairs",
@@ -292,6 +292,7 @@ def near_duplicate_classes(docs: DataFrame, size: int = SHINGLE, threshold: floa
 
     classed = member.join(labels, member["rep"] == labels["node"], "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
     classed = materialize(classed, "classes")
+    drop(spark, member)
     sizes = materialize(classed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "class-sizes")
     return classed.join(sizes, "class_id").select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
