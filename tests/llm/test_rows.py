@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.test_operators import DOCS, words
 from toolgraph.llm import exact_dedup, language_id, minhash, mixing
+from toolgraph.scratch import materialize
 
 
 def table(spark, rows):
@@ -87,3 +88,23 @@ def test_a_language_under_one_id_is_learned(spark, sf_dir):
     assert {"xx", "yy"} <= set(identifier.langs)
     mine = language_id.identify(docs.filter("lang IN ('xx', 'yy')").dropDuplicates(["text"]).withColumn("doc_id", F.monotonically_increasing_id()), identifier)
     assert {r.lang_pred for r in mine.collect()} == {"xx", "yy"}
+
+
+def test_exact_dedup_merges_runs_where_they_lie(spark):
+    rows = [(k, f"t{k % 11}" if k % 3 else "hot", "a") for k in range(400)]
+    digests = exact_dedup.digest_runs(table(spark, rows).repartition(20)).withColumnRenamed("doc_id", "keep_id").withColumn("group_size", F.lit(1))
+    runs = materialize(exact_dedup.merge_round(digests, 1), "runs")
+    spark.conf.set(exact_dedup.JOIN_IN_PLACE, "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = exact_dedup.run_winners(runs, 20, 2)._jdf.queryExecution().executedPlan().toString()
+        found = exact_dedup.digest_groups(table(spark, rows).repartition(20), 2).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset(exact_dedup.JOIN_IN_PLACE)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and all("ReusedExchange" in line or "REPARTITION_BY_COL" in line for line in exchanges)  # one deal, no more in five rounds up and down
+    best = {t: max(k for k, u, _ in rows if u == t) for _, t, _ in rows}
+    assert {r.doc_id: r.keep_id for r in found} == {k: best[t] for k, t, _ in rows}

@@ -1,16 +1,16 @@
 """Exact dedup by a tree-merge of sorted digest runs (DataFrame functions only).
 
 Every document gets a digest of its normalised text. Each input partition is a
-*run*: its entries, one a digest, sorted by digest (level 0). Then, round by
-round, ``fan_in`` neighbouring runs meet (three rounds of a binomial tree at
-once) and are merged: their entries are sorted by run and digest, and equal ones
-keep the largest identifier and the summed count, until a single run is left.
-Entries are equal only if SHA-256, length and an independent second hash of the
-text agree, at every level. The winners travel the same tree downwards, so each
-join key is (run, digest): a text that a third of all rows share has one entry a
-run and is never one task's work. Runs are dealt over tasks by digest, so that
-the last one is not a single task either. Text is read once and never shuffled;
-only digests are.
+*run*: its entries, one a digest (level 0). The runs are cut into the same ranges
+of hashed digests once, so that a range's pieces of all runs lie in one task.
+From then on nothing moves: round by round, each range merges ``fan_in``
+neighbouring runs (three rounds of a binomial tree at once) by an aggregate over
+entries sorted by (run, digest), in which equal ones keep the largest identifier
+and the summed count, until a single run is left; and the winners travel the same
+tree downwards by sort-merge joins over the same ranges. Entries are equal only if
+SHA-256, length and an independent second hash of the text agree, at every level.
+A text that a third of all rows share has one entry a run and is never one task's
+work. Text is read once and never shuffled; only digests are.
 
 Defined results: null text counts as empty; all empty texts are one group. A
 null doc_id never wins over a real one; a group of only null ids keeps null,
@@ -27,11 +27,13 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolgraph.scratch import materialize
+from toolgraph.scratch import drop, materialize
 
 FAN_IN = 8
 #: texts are equal when all of these are
 KEY = ["digest", "n_bytes", "proof"]
+#: whether a join's sides, dealt by some of its keys, are dealt anew by all of them
+JOIN_IN_PLACE = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def normalised(text: Column) -> Column:
@@ -68,17 +70,31 @@ def hand_down(level: DataFrame, parents: DataFrame, fan_in: int) -> DataFrame:
     )
 
 
-def digest_groups(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """One row a document: doc_id, keep_id (largest doc_id of equal texts), group_size, kept, text_sha256."""
-    digests = materialize(digest_runs(docs), "digests")
-    levels = [merge_round(digests.select("run", *KEY, F.col("doc_id").alias("keep_id"), F.lit(1).alias("group_size")), 1)]
-    width = (digests.agg(F.max("run")).first()[0] or 0) + 1
+def run_winners(runs: DataFrame, width: int, fan_in: int = FAN_IN) -> DataFrame:
+    """(run, key, keep_id, group_size): what the merge of all ``width`` runs holds for each entry of each run."""
+    levels = [runs.repartition("digest")]
     while width > 1:
         levels.append(merge_round(levels[-1], fan_in))
         width = -(-width // fan_in)
     winners = levels[-1]
     for level in reversed(levels[:-1]):
         winners = hand_down(level, winners, fan_in)
+    return winners
+
+
+def digest_groups(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+    """One row a document: doc_id, keep_id (largest doc_id of equal texts), group_size, kept, text_sha256."""
+    spark = docs.sparkSession
+    digests = materialize(digest_runs(docs), "digests")
+    runs = materialize(merge_round(digests.select("run", *KEY, F.col("doc_id").alias("keep_id"), F.lit(1).alias("group_size")), 1), "runs")
+    width = (runs.agg(F.max("run")).first()[0] or 0) + 1
+    before = spark.conf.get(JOIN_IN_PLACE)
+    try:
+        spark.conf.set(JOIN_IN_PLACE, "false")
+        winners = materialize(run_winners(runs, width, fan_in), "winners")
+    finally:
+        spark.conf.set(JOIN_IN_PLACE, before)
+    drop(spark, runs)
     return digests.join(winners, ["run", *KEY]).select(
         "doc_id",
         "keep_id",
