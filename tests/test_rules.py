@@ -208,12 +208,12 @@ def test_graph_build(spark, tmp_path):
 
     def model(texts):
         def one(t):
-            if t.startswith("- Producer"):
+            if t.startswith("Can what"):
                 return json.dumps({"valid": "First tool: ip (address)" in t and "Input: ip (address)" in t})
             if t.startswith("["):
                 return json.dumps({"Net Tools": "Network"})
-            assert "Finance" in t and "- Name: " in t
-            return '{"category": " net tools "}' if "Name: ip" in t or "Name: geo" in t else "no"
+            assert "Finance" in t and "Tool: " in t
+            return '{"category": " net tools "}' if "Tool: ip" in t or "Tool: geo" in t else "no"
 
         return [one(t) for t in texts]
 
