@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from toolgraph.llm.rows import ids_tell_rows_apart, row_digest
+from toolgraph.scratch import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
 #: (weight at the start, weight at the end) of training, for sources by rank, repeating
@@ -105,7 +106,8 @@ def mix(
     sized = docs.select("doc_id", "source", *keys, words(F.col("text")).alias("size")).withColumn(
         "place", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     ).withColumn("bucket", bucket())
-    sized = sized.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
+    # three branches read it: texts are read, and their words counted, once
+    sized = materialize(sized.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))), "sized")
     targets = source_targets(sized, weights, budget, max_epochs).select(
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("source_key"), "rank", "source_size", "target"
     )
