@@ -133,10 +133,11 @@ def neighbours_minus_core(spark, sf_dir):
 
 
 def negatives(spark, sf_dir):
-    """Of each sample, how many distractors it got and how many of them are its neighbours."""
+    """Of each sample, how many distractors it got, how many of them are its neighbours, and which."""
     edges = proxy_edges(spark, sf_dir)
     chosen = sampling.distractors(core_sets(edges), edges, proxy_nodes(spark, sf_dir), 0.5, 7)
-    return chosen.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("tier") == 0).alias("hard"))
+    names = F.array_sort(F.collect_list(F.when(F.col("tier") == 0, F.col("name"))))  # as many as a sample asks for
+    return chosen.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("tier") == 0).alias("hard"), F.array_join(names, ",").alias("hard_names"))
 
 
 def coverage(spark, sf_dir):
@@ -226,8 +227,10 @@ SELECT key, round(weight / (1.0::DOUBLE + coalesce(n, 0)), 9) AS decayed FROM e
     "hop_draw": f"WITH {proxy_sql()}, race AS (SELECT CAST(src AS VARCHAR) AS walk, key, dst, row_number() OVER (PARTITION BY src ORDER BY -ln({U(chr(39) + '7' + chr(39), 'src', chr(39) + '1' + chr(39), 'key')}) / weight, key) AS k FROM e) SELECT walk, key, dst FROM race WHERE k = 1",
     "walks": walk_sql(),
     "neighbours_minus_core": f"WITH {proxy_sql()}, {CORE}, {NEAR} SELECT sample, name FROM near",
-    "negatives": f"""WITH {proxy_sql()}, {CORE}, {NEAR}, k AS (SELECT sample, count(*) AS near FROM near GROUP BY 1)
-SELECT s.sample, CAST(2 AS BIGINT) AS n, least(2, coalesce(near, 0))::BIGINT AS hard FROM (SELECT DISTINCT sample FROM core) s LEFT JOIN k USING (sample)""",
+    "negatives": f"""WITH {proxy_sql()}, {CORE}, {NEAR},
+k AS (SELECT sample, name, row_number() OVER (PARTITION BY sample ORDER BY {U("'7'", "sample", "name")}, name) AS k FROM near),
+h AS (SELECT sample, count(*) AS hard, string_agg(name, ',' ORDER BY name) AS hard_names FROM k WHERE k <= 2 GROUP BY 1)
+SELECT s.sample, CAST(2 AS BIGINT) AS n, coalesce(hard, 0)::BIGINT AS hard, coalesce(hard_names, '') AS hard_names FROM (SELECT DISTINCT sample FROM core) s LEFT JOIN h USING (sample)""",
     "coverage": f"""WITH {proxy_sql()}, t AS (SELECT (SELECT count(*) FROM e) AS edges, count(*) AS edges_considered, count(*) FILTER (weight >= 0.4) AS edges_traversed FROM e WHERE weight >= 0.38)
 SELECT *, printf('%.2f%%', edges_considered * 100.0::DOUBLE / edges) AS considered, printf('%.2f%%', edges_traversed * 100.0::DOUBLE / edges) AS traversed FROM t""",
     "hash_uniforms": f"SELECT o_orderkey, CAST({U(chr(39) + '11' + chr(39), 'o_orderkey', 'o_custkey')} AS DOUBLE) AS u FROM orders",
