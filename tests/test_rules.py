@@ -28,6 +28,17 @@ def test_title(spark, given_, wanted):
     assert one(spark, text.title("t"), t=given_) == wanted
 
 
+def test_json_with_more_behind_it_is_no_json(spark):
+    reply = '4703443633 Ach. Answer: {"valid": true} 4703443633 Ach.'
+    assert one(spark, text.first_json("t"), t=reply) == '{"valid": true}' and one(spark, providers.verdict("t"), t=reply)
+    assert one(spark, text.first_json("t"), t=' {"a": 1, "a": [2]} ') == '{"a": 1, "a": [2]}'
+    assert one(spark, text.first_json("t"), t=' "all" ') == '"all"' and one(spark, text.first_json("t"), t="1], [2") is None
+    assert "Internal" in one(spark, text.simulated_output("t"), t='{"a": 1} and }')
+    assert one(spark, text.tool_calls("t"), t='[{"name": "a"}] or [1]') is None
+    assert [text.is_json(t) for t in ('{"a": 1e5}', "NaN", "-Infinity", "9" * 5000, "[" * 10**6, "")] == [True, False, False, True, False, False]
+    assert catalog.catalog(spark.createDataFrame([(1, '{"name": "a"} {"name": "b"}'), (2, '{"name": "c"}')], "ord long, line string"))[0].select("name").collect() == [("c",)]
+
+
 @pytest.mark.parametrize("given_, wanted", [("37.62%", 37.62), ("12.5", 12.5), ("N/A", 0.0), ("", 0.0), (None, 0.0), ("3%7", 0.0), ("%5", 0.0), ("1d", 0.0), (" -2.5e1% ", -25.0)])
 def test_percent(spark, given_, wanted):
     assert one(spark, text.percent("t"), t=given_) == wanted

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,12 +53,30 @@ def is_control(content: Column | str) -> Column:
     return as_column(content).isin(STOP, STOP_FAILED)
 
 
+def is_json(text: str) -> bool:
+    """Whether the whole text is one JSON value; ``NaN`` and infinities are none, repeated keys are allowed."""
+    try:
+        json.loads(text, parse_int=str, parse_float=str, parse_constant=int)  # int() refuses NaN
+    except (ValueError, RecursionError):
+        return False
+    return True
+
+
+def valid_json(text: Column | str) -> Column:
+    """The text if all of it is one JSON value, else null. Spark's ``parse_json`` ignores what follows the first value."""
+
+    def checked(texts: pa.Array) -> pa.Array:
+        return pa.array([t if t is not None and is_json(t) else None for t in texts.to_pylist()], pa.string())
+
+    return F.arrow_udf(checked, "string")(as_column(text))
+
+
 def first_json(text: Column | str) -> Column:
     """The whole text if it is JSON; else the shortest ``{...}``, which cuts nested objects and then is no JSON; else null."""
-    whole = strip(text)
-    inner = F.regexp_extract(as_column(text), r"(?s)\{.*?\}", 0)
-    is_json = lambda c: F.try_parse_json(c).isNotNull()
-    return F.when(is_json(whole), whole).when((inner != "") & is_json(inner), inner)
+    text = as_column(text)
+    whole = F.when(text.rlike(r"^\s*+([\[{\"\-0-9]|true|false|null)"), strip(text))  # prose is not sent to Python
+    inner = F.nullif(F.regexp_extract(text, r"(?s)\{.*?\}", 0), F.lit(""))
+    return F.coalesce(valid_json(whole), valid_json(inner))
 
 
 def braces_slice(text: Column | str) -> Column:
@@ -69,12 +90,8 @@ def braces_slice(text: Column | str) -> Column:
 
 def simulated_output(text: Column | str) -> Column:
     """A tool simulator's reply as JSON text: its object, or an error object if it has none or a broken one."""
-    cut = braces_slice(text)
-    return (
-        F.when(cut.isNull(), F.lit('{"error": "Simulation format error"}'))
-        .when(F.try_parse_json(cut).isNull(), F.lit('{"error": "Internal simulation error"}'))
-        .otherwise(cut)
-    )
+    failed = F.when(F.contains(as_column(text), F.lit("{")), F.lit('{"error": "Internal simulation error"}')).otherwise(F.lit('{"error": "Simulation format error"}'))
+    return F.coalesce(valid_json(braces_slice(text)), failed)
 
 
 def tool_calls(text: Column | str) -> Column:
@@ -89,7 +106,7 @@ def tool_calls(text: Column | str) -> Column:
     raw = strip(F.when(fenced != "", fenced).otherwise(bracket))
     joined = F.regexp_replace(raw, r"\}\s*\{", "},{")
     wrapped = F.when(joined.startswith("{"), F.concat(F.lit("["), joined, F.lit("]"))).otherwise(joined)
-    return F.when(F.try_parse_json(wrapped).isNotNull(), wrapped)
+    return valid_json(wrapped)
 
 
 def content_text(blocks: Column | str) -> Column:

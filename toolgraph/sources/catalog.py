@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from toolgraph.functions.hashing import skeleton_id
-from toolgraph.functions.text import strip
+from toolgraph.functions.text import strip, valid_json
 from toolgraph.scratch import materialize
 
 PARAMETERS = "struct<type:string,properties:map<string,variant>,required:array<string>>"
@@ -24,10 +24,10 @@ def tool_entries(lines: DataFrame, unpack: bool = True, observation: Observation
     envelope. Absent description and parameters become empty, but a null one makes the entry unsound, as does no name.
     Lines that are no JSON, or whose ``tools`` text is none, have no entries. Without ``unpack`` every row is a tool. ``observation`` gets the counts lines, blank and unreadable.
     """
-    row = F.try_parse_json("line")
+    row = F.try_parse_json(valid_json("line"))
     packed = F.try_variant_get("row", "$.tools", "string")
     is_packed = F.coalesce(F.schema_of_variant(F.try_variant_get("row", "$.tools", "variant")) == "STRING", F.lit(False))
-    listed = F.when(is_packed & F.lit(unpack), F.try_parse_json(packed).try_cast("array<variant>")).otherwise(F.array("row"))
+    listed = F.when(is_packed & F.lit(unpack), F.try_parse_json(valid_json(packed)).try_cast("array<variant>")).otherwise(F.array("row"))
     rows = lines.withColumn("row", row)
     if observation:
         blank = F.trim("line") == ""

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from toolgraph.functions.text import valid_json
 from toolgraph.operators.chat import repaired_messages
 
 #: characters of a file that tell whether it is text
@@ -24,7 +25,7 @@ SNIFFED = 1024
 def json_lines(spark: SparkSession, path: str, observation: Observation | None = None) -> DataFrame:
     """(file, line, row variant) of the lines that hold a JSON object; ``observation`` gets the counts lines, blank and rejected when the result is first used."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
-    parsed = lines.withColumn("row", F.try_parse_json("line"))
+    parsed = lines.withColumn("row", F.try_parse_json(valid_json("line")))
     sound = F.coalesce(F.schema_of_variant("row").startswith("OBJECT"), F.lit(False))
     parsed = parsed.withColumn("__sound", sound)
     if observation:
