@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from toolgraph.config import Settings
 from toolgraph.functions import policy, text
-from toolgraph.functions.hashing import edge_signature, intent_id, skeleton_id
+from toolgraph.functions.hashing import edge_signature, intent_id, json_string, skeleton_id
 from toolgraph.operators import build, chat, graph, intents, providers, sampling, scores, similarity, simulation
 from toolgraph.operators.components import connected_components
 from toolgraph.sources import catalog, sinks
@@ -28,6 +28,14 @@ def test_title(spark, given_, wanted):
     assert one(spark, text.title("t"), t=given_) == wanted
 
 
+def test_fences_are_cut_and_text_is_escaped_once_a_row(spark):
+    reply = F.concat(F.lit("```json"), json_string("t"), F.lit("```"))
+    rows = spark.createDataFrame([('{"a": "{}"} \v\x01"',), (None,), ("} {",), ("a } b",), ("x {{a} } y",)], "t string").select("t", text.simulated_output(reply).alias("x"), text.braces_slice("t").alias("cut"), json_string("t").alias("j")).cache()
+    assert [(r.cut, json.loads(r.j) if r.j else None) for r in rows.collect()] == [('{"a": "{}"}', '{"a": "{}"} \v\x01"'), (None, None), ("", "} {"), (None, "a } b"), ("{{a} }", "x {{a} } y")]
+    plan = spark.createDataFrame([("",)], "t string").select(text.simulated_output(reply))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("```json") <= 4  # put on and taken off once; the plan names the call of Python twice
+
+
 def test_json_with_more_behind_it_is_no_json(spark):
     reply = '4703443633 Ach. Answer: {"valid": true} 4703443633 Ach.'
     assert one(spark, text.first_json("t"), t=reply) == '{"valid": true}' and one(spark, providers.verdict("t"), t=reply)

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
+
+
+def once(value: Column | str, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(as_column(value)), use), 1)

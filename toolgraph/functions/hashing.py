@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from toolgraph.functions.columns import as_column
+from toolgraph.functions.columns import as_column, once
 
 
 def uniform(*keys: Column | str | int) -> Column:
@@ -28,8 +28,13 @@ def json_string(text: Column | str) -> Column:
     out = as_column(text)
     for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
         out = F.replace(out, F.lit(plain), F.lit(escaped))
-    for code in [*range(0x08), 0x0B, *range(0x0E, 0x20)]:
-        out = F.replace(out, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+
+    def rare(text: Column) -> Column:
+        for code in [*range(0x08), 0x0B, *range(0x0E, 0x20)]:
+            text = F.replace(text, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+        return text
+
+    out = once(out, lambda t: F.when(t.rlike(r"[\x00-\x1f]"), rare(t)).otherwise(t))
     return F.concat(F.lit('"'), out, F.lit('"'))
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from toolgraph.functions.columns import as_column
+from toolgraph.functions.columns import as_column, once
 
 #: fixed values: roles of tagged conversations and what they are called in chat rows
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "function_call": "tool_call", "observation": "tool_response"}
@@ -62,11 +62,11 @@ def is_json(text: str) -> bool:
     return True
 
 
-def valid_json(text: Column | str) -> Column:
-    """The text if all of it is one JSON value, else null. Spark's ``parse_json`` ignores what follows the first value."""
+def valid_json(text: Column | str, otherwise: str | None = None) -> Column:
+    """The text if all of it is one JSON value, else ``otherwise``; null stays null. Spark's ``parse_json`` ignores what follows the first value."""
 
     def checked(texts: pa.Array) -> pa.Array:
-        return pa.array([t if t is not None and is_json(t) else None for t in texts.to_pylist()], pa.string())
+        return pa.array([t if t is None or is_json(t) else otherwise for t in texts.to_pylist()], pa.string())
 
     return F.arrow_udf(checked, "string")(as_column(text))
 
@@ -81,17 +81,14 @@ def first_json(text: Column | str) -> Column:
 
 def braces_slice(text: Column | str) -> Column:
     """Without code fences, from the first ``{`` to the last ``}``; null without a ``{``, empty without a ``}`` after it."""
-    bare = strip(F.replace(F.replace(as_column(text), F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
-    begin = F.locate("{", bare)
-    end = F.length(bare) - F.locate("}", F.reverse(bare)) + 1
-    last = F.when(F.contains(bare, F.lit("}")), end).otherwise(0)
-    return F.when(begin > 0, F.when(last >= begin, F.substring(bare, begin, last - begin + 1)).otherwise(F.lit("")))
+    bare = F.replace(F.replace(as_column(text), F.lit("```json"), F.lit("")), F.lit("```"), F.lit(""))
+    opened = once(bare, lambda b: F.when(F.contains(b, F.lit("{")), F.regexp_replace(b, r"^[^{]*+", "")))
+    return once(opened, lambda o: F.left(o, F.length(o) - F.length(F.substring_index(o, "}", -1))))
 
 
 def simulated_output(text: Column | str) -> Column:
     """A tool simulator's reply as JSON text: its object, or an error object if it has none or a broken one."""
-    failed = F.when(F.contains(as_column(text), F.lit("{")), F.lit('{"error": "Internal simulation error"}')).otherwise(F.lit('{"error": "Simulation format error"}'))
-    return F.coalesce(valid_json(braces_slice(text)), failed)
+    return F.coalesce(valid_json(braces_slice(text), '{"error": "Internal simulation error"}'), F.lit('{"error": "Simulation format error"}'))
 
 
 def tool_calls(text: Column | str) -> Column:
