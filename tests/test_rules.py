@@ -4,6 +4,7 @@ import hashlib
 import json
 from xml.etree import ElementTree
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -28,6 +29,23 @@ def test_title(spark, given_, wanted):
     assert one(spark, text.title("t"), t=given_) == wanted
 
 
+def test_similarity_join_sends_vectors_to_few_tasks_and_keeps_all_matches(spark, monkeypatch):
+    assert [similarity.n_groups(n, 64) for n in (0, 1, 2049, 50_000, 615_000, 2_000_000)] == [1, 1, 2, 16, 16, 16]
+    assert similarity.n_groups(20_000_000, 64) == 153 and similarity.n_groups(100_000, 1536) == 19  # full groups
+    monkeypatch.setattr(similarity, "GROUPS", 3)
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.normal(size=(41, 16))] * 7)  # copies tie: the smaller id comes first
+    rows = spark.createDataFrame([(k, v[k].tolist()) for k in range(len(v))], "id long, v array<double>").withColumn("v", F.col("v").cast("array<float>"))
+    found = similarity.top_matches(rows.select(F.col("id").alias("producer"), "v"), rows.select(F.col("id").alias("consumer"), F.lit("p").alias("param"), "v"), 0.2, 9, block=25)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("sequence(0, 2,") == 2  # three groups a side, not twelve
+    got = {(r.consumer, r.producer) for r in found.collect()}
+    u = v.astype("f4").astype(float)[:41]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    scores = np.round(u @ u.T, 12)[np.arange(len(v)) % 41][:, np.arange(len(v)) % 41]
+    assert got == {(c, p) for c in range(len(v)) for p in sorted(range(len(v)), key=lambda p: (-scores[c, p], p))[:9] if scores[c, p] > 0.2}
+
+
 def test_fences_are_cut_and_text_is_escaped_once_a_row(spark):
     reply = F.concat(F.lit("```json"), json_string("t"), F.lit("```"))
     rows = spark.createDataFrame([('{"a": "{}"} \v\x01"',), (None,), ("} {",), ("a } b",), ("x {{a} } y",)], "t string").select("t", text.simulated_output(reply).alias("x"), text.braces_slice("t").alias("cut"), json_string("t").alias("j")).cache()
