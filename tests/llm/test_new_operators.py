@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_operators import DOCS, odd_docs
 from tests.oracle import connect, plain
-from toolgraph.llm import alignment, cuts, packing, prefix_trie
+from toolgraph.llm import alignment, cuts, packing, prefix_trie, token_blocks
 from toolgraph.llm.bpe import byte_symbols
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -226,3 +226,17 @@ def test_trie_of_an_empty_table(spark):
 def test_crc_in_sql():
     for s in ("0", "7", "123456789", "-40"):
         assert connect("/root/testdata/sf0.001").execute("SELECT " + prefix_trie.CRC32_SQL.format(s="s") + f" FROM (SELECT '{s}' AS s)").fetchone()[0] == zlib.crc32(s.encode())
+
+
+def test_op6_library_gets_chunks_without_words_between(monkeypatch):
+    encoder = token_blocks.LibraryEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["The cat, ¤ | sat.. ... on a|b don't!? ß. Ünï? éx; ́ 日本語。 x1, 2. É.", "", None, "the CAT. cat! ,cat \x1c a\x1db", "†.§, 😀! 😀😀, ~", "İx, Σ."]
+    plain = [encoder.ask([t])[0].tobytes() if t else b"" for t in texts]
+    asked, ask = [], encoder.ask
+    monkeypatch.setattr(encoder, "ask", lambda given: asked.append(list(given)) or ask(given))
+    assert encoder.encode(texts).to_pylist() == plain
+    assert encoder.encode(texts[::-1]).to_pylist() == plain[::-1]  # now remembered
+    assert all(len(given) == 1 for given in asked)  # no chunk had to be asked for alone
+    words = [w for given in asked for w in given[0].split(" ") if w]
+    assert words.count("¤") == words.count("|") == 1 and "¬" not in words  # those of the texts only
+    assert not any(c.isspace() for a in encoder.added for c in a)

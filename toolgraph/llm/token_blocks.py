@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from toolgraph.llm.bpe import END_OF_WORD
 from toolgraph.scratch import new_path
 from toolgraph.llm.wordsplit import ENCODED_BYTES, ChunkCache, slices
 
@@ -45,9 +46,9 @@ END_ID = 1
 MAGIC = b"PFR1"
 HEAD = struct.Struct("<IBH")
 #: chunks in one text for the library
-AT_ONCE = 512
-#: words to stand between chunks, rare ones first
-SEPARATOR_WORDS = ["¤", "¬", "†", "§", "|", "~"]
+AT_ONCE = 2048
+#: rows that are encoded at once, if they have no more than ENCODED_BYTES
+ROWS_AT_ONCE = 8192
 SEGMENTS = T.StructType([
     T.StructField("shard", T.IntegerType()),
     T.StructField("segment", T.IntegerType()),
@@ -151,7 +152,7 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
 
 
 class LibraryEncoder(ChunkCache):
-    """Chunks as the tokenizers library encodes them, many in one text with a separating word between them."""
+    """Chunks as the tokenizers library encodes them, many in one text; where each ends is told by the bytes that its tokens stand for."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -162,8 +163,13 @@ class LibraryEncoder(ChunkCache):
         self.library.no_truncation()
         self.library.no_padding()
         self.added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        #: a separator is one token, which then stands for nothing but that word
-        self.separators = [(w, int(ids[0])) for w, ids in zip(SEPARATOR_WORDS, self.ask(SEPARATOR_WORDS), strict=True) if len(ids) == 1]
+        #: bytes of text that each token stands for; no token of the vocabulary reaches over white space
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.widths = np.zeros(max([*vocabulary.values(), *self.added.values()], default=-1) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.widths[i] = len(token.removesuffix(END_OF_WORD))
+        for token, i in self.added.items():
+            self.widths[i] = len(token.encode())
 
     def ask(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -172,15 +178,15 @@ class LibraryEncoder(ChunkCache):
         out: list[bytes] = []
         for at in range(0, len(new), AT_ONCE):
             group = new[at : at + AT_ONCE]
-            usable = [s for s in self.separators if not any(s[0] in c for c in group)]
-            if not usable:
-                out += [ids.tobytes() for ids in self.ask(group)]
+            ids = self.ask([" ".join(group)])[0]
+            ends, reached = np.cumsum([len(c.encode()) for c in group]), np.cumsum(self.widths[ids])
+            last = np.searchsorted(reached, ends)  # the token that each chunk ends with
+            if not len(ids) or reached[-1] != ends[-1] or (reached[last] != ends).any():
+                out += [own.tobytes() for own in self.ask(group)]
                 continue
-            word, mark = usable[0]
-            ids = self.ask([f" {word} ".join(group)])[0]
-            bounds = np.concatenate([[-1], np.flatnonzero(ids == mark), [len(ids)]]).tolist()
+            bounds = [0, *(4 * (last + 1)).tolist()]
             packed = ids.tobytes()
-            out += [packed[4 * a + 4 : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            out += [packed[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         return out
 
     def encode_special(self, text: str) -> bytes:
@@ -211,7 +217,7 @@ def write_blocks(docs: DataFrame, path: str, out: str, end_id: int = END_ID, seg
                 SEGMENTS.names,
             )
 
-        for batch in slices(batches, size=ENCODED_BYTES):
+        for batch in slices(batches, ROWS_AT_ONCE, ENCODED_BYTES):
             for doc_id, encoded in zip(batch.column(0).to_pylist(), library_encoder(path).encode(batch.column(1).to_pylist()).to_pylist(), strict=True):
                 ids.append(doc_id)
                 held.append(encoded + end)
