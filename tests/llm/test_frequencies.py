@@ -76,3 +76,14 @@ def test_op8_runs_grow_with_text_times_its_root(spark):
 
     small, large = runs(16), runs(256)
     assert large[0] <= 64 * small[0] * 1.5 and large[1] <= 64 * small[1] * 1.5
+
+
+def test_shared_shingles_are_looked_up_in_ranges():
+    rng = np.random.default_rng(11)
+    for n in (0, 1, 2, 1000):
+        found = np.unique(np.append(rng.integers(0, 2**64, n, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)[: n // 2]))
+        held = np.arange(2, 2 + len(found), dtype=np.uint32)
+        known = frequencies.Shared([frequencies.packed(found)], [frequencies.by_planes(held)])
+        asked = np.concatenate([found, found + np.uint64(1), rng.integers(0, 2**64, 500, dtype=np.uint64)])
+        of = dict(zip(found.tolist(), held.tolist(), strict=True))
+        assert known.of(asked).tolist() == [of.get(s, 1) for s in asked.tolist()]
